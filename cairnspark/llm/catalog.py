@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, mixing, quality_rules
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_mixing": mixing.op2_mixing,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op2_mixing": mixing.OP2_SQL,
+    "op10_quality_rules": quality_rules.OP10_SQL,
 }
