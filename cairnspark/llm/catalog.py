@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, mixing, quality_rules, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_mixing": mixing.op2_mixing,
+    "op3_simhash": simhash.op3_simhash,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
