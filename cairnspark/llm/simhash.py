@@ -255,16 +255,14 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """One row of each component stays: the one with the smallest identifier.  The input's columns.
 
     Five-word shingles and 3 of 64 bits: links mean a similarity of about 0.9
-    and more.  Rows with a null identifier have nothing to be told apart by
-    and all stay.  Of rows that repeat the staying identifier, one stays: the
-    first by fingerprint.
+    and more.  A null identifier counts as larger than any other; rows that
+    repeat the staying identifier are told apart by their place in the input.
     """
     own = {k: fresh(k, docs.columns) for k in ("nd_id", "nd_tag")}
     tagged = staged(docs.withColumn(own["nd_tag"], F.monotonically_increasing_id()), "simhash-docs")
-    # identifier first, then the tag: unique, and in the identifier's order
-    keyed = tagged.select(F.struct(quoted(id_col).alias("id"), quoted(own["nd_tag"]).alias("tag")).alias(own["nd_id"]), quoted(text_col))
-    found = near_duplicates(keyed, own["nd_id"], text_col, shingle, max_bits, **kw)
-    gone = found.where(F.col("id.id").isNotNull() & (F.col("id.tag") != F.col("component_id.tag"))).select(F.col("id.tag").alias(own["nd_tag"]))
+    order = F.struct(quoted(id_col).isNull().alias("no_id"), quoted(id_col).alias("id"), quoted(own["nd_tag"]).alias("tag"))
+    found = near_duplicates(tagged.select(order.alias(own["nd_id"]), quoted(text_col)), own["nd_id"], text_col, shingle, max_bits, **kw)
+    gone = found.where(F.col("id.tag") != F.col("component_id.tag")).select(F.col("id.tag").alias(own["nd_tag"]))
     return tagged.join(gone, own["nd_tag"], "left_anti").select([quoted(c) for c in docs.columns])
 
 
