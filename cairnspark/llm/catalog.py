@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality_rules, simhash
+from . import exact_dedup, mixing, packing, pii, quality_rules, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_mixing": mixing.op2_mixing,
     "op3_simhash": simhash.op3_simhash,
+    "op4_pii": pii.op4_pii,
     "op5_packing": packing.op5_packing,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
