@@ -26,6 +26,7 @@ are tokenised in a piece, whole.  Extra columns are never looked at.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -42,17 +43,19 @@ CAPACITY = 2048
 END_ID = 0
 #: Steps of the search for one filling.
 SEARCH_STEPS = 4000
-CACHE_WORDS = 200_000
+#: Words that a process remembers.
+CACHE_WORDS = 600_000
 
 
 class WordTokens:
-    """Ids of a text, as little-endian unsigned 32-bit bytes, equal to those of the tokenizer.
+    """Ids of texts, as little-endian unsigned 32-bit bytes, equal to those of the tokenizer.
 
     The tokenizer lower-cases, splits by a fixed pattern and encodes each part
-    for itself, so parts are encoded once and remembered.  Only texts of ASCII
-    and the Latin letters up to U+017F take that way, for which the pattern,
-    case and composition are the same everywhere; others go through the
-    tokenizer whole.
+    for itself, the last token of a part being marked as its end.  So parts are
+    encoded once, all new ones of a block of text in one call, and remembered
+    while they recur.  Only texts of ASCII and the Latin letters up to U+017F
+    take that way, for which pattern, case and composition are the same
+    everywhere; others go through the tokenizer whole.
     """
 
     #: Fixed value: the tokenizer file's own pattern, for the letters above.
@@ -63,23 +66,63 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if self.OTHER.search(text):
-            return self.whole(text)
-        parts, known = self.PARTS.findall(text.lower()), self.known
-        new = [p for p in set(parts) if p not in known]
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list(set(parts))
-        if new:
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join(map(known.__getitem__, parts))
+        self.recent: set[str] = set()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn(self, parts: set[str]) -> None:
+        if len(self.known) > CACHE_WORDS:  # those of late stay
+            self.known = {p: self.known[p] for p in self.recent}
+            self.recent = set()
+        self.recent |= parts
+        new = list(parts.difference(self.known))
+        if not new:
+            return
+        ids = self._ids(" ".join(new))
+        stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(stops) != len(new):  # a part that has another split than here
+            for p in new:
+                self.known[p] = self._ids(p).tobytes()
+            return
+        data, at = ids.tobytes(), 0
+        for p, z in zip(new, stops.tolist(), strict=True):
+            self.known[p] = data[at:z]
+            at = z
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = [None if self.OTHER.search(t) else self.PARTS.findall(t.lower()) for t in texts]
+        self._learn(set().union(*(p for p in split if p)))
+        get = self.known.__getitem__
+        return [self._ids(t).tobytes() if p is None else b"".join(map(get, p)) for t, p in zip(texts, split, strict=True)]
+
+
+_tokens: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """One for each process: a reused worker keeps what it has learnt."""
+    if path not in _tokens:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        _tokens[path] = WordTokens(path)
+    return _tokens[path]
+
+
+def _blocks(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts, in order, in lists of about ``size`` characters."""
+    block, n = [], 0
+    for t in texts:
+        block.append(t.as_py() or "")
+        n += len(block[-1])
+        if n >= size:
+            yield block
+            block, n = [], 0
+    if block:
+        yield block
 
 
 def word_bpe_path() -> str:
@@ -94,12 +137,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer_path or word_bpe_path())
+        tokens = word_tokens(tokenizer_path or word_bpe_path())
         task, counts = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for b in batches:
             at, out = [], []
-            for k, t in enumerate(b.column(1)):
-                ids = tokens(t.as_py() or "") + end
+            for k, ids in enumerate(ids for block in _blocks(b.column(1)) for ids in tokens(block)):
+                ids += end
                 for piece, a in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[a : a + 4 * capacity]
                     n = len(part) // 4

@@ -29,6 +29,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import quoted, table
 
@@ -139,7 +140,7 @@ class Finder:
         return [(k, a, z) for k in KINDS for a, z in found[k]]
 
 
-SPANS = "array<struct<kind: string, start: long, end: long>>"
+SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFrame:
@@ -155,7 +156,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataF
             found = [[{"kind": k, "start": s, "end": e} for k, s, e in finder.find(t.as_py() or "")] for t in b.column(text_at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, kind)], [*b.schema.names, out])
 
-    return rows.mapInArrow(scan, rows.schema.add(out, SPANS))
+    return rows.mapInArrow(scan, T.StructType([*rows.schema.fields, T.StructField(out, SPANS)]))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -65,7 +65,7 @@ def test_table_with_nulls_and_clashing_names(spark):
     assert sorted(len(r.pii) for r in out.collect()) == [0, 0, 1, 1]
     red = pii.redact(docs)
     assert red.columns == docs.columns
-    assert sorted((r.text or "-") for r in red.collect()) == ["", "-", "mail <email>", "mail <email>"]
+    assert sorted(("-" if r.text is None else r.text) for r in red.collect()) == ["", "-", "mail <email>", "mail <email>"]
     assert pii.find_pii(docs.limit(0)).count() == 0
 
 
