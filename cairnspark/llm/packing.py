@@ -26,6 +26,7 @@ are tokenised in a piece, whole.  Extra columns are never looked at.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -55,25 +56,43 @@ class WordTokens:
     encoded once, all new ones of a block of text in one call, and remembered
     while they recur.  Only texts of ASCII and the Latin letters up to U+017F
     take that way, for which pattern, case and composition are the same
-    everywhere; others go through the tokenizer whole.
+    everywhere; others, and all texts if the file is of another kind of
+    tokenizer, go through the tokenizer whole.
     """
 
-    #: Fixed value: the tokenizer file's own pattern, for the letters above.
-    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-zß-öø-ÿĀ-ſ]+|[0-9]|[^\sA-Za-zß-öø-ÿĀ-ſ0-9]+")
+    #: Fixed value: the tokenizer file's own pattern.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+    #: The same for lower-case letters up to U+017F.
+    PARTS = re.compile(r"[a-zß-öø-ÿĀ-ſ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\sa-zß-öø-ÿĀ-ſ0-9]+")
     OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-įı-ňŊ-ž]|<\|")
 
+    PLAIN = bytes([*range(9, 14), *range(32, 127)])
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model for parts: they are normal and split already, and each comes once
+        own = json.loads(self.tokenizer.to_str())
+        self.by_parts = own["model"].get("end_of_word_suffix") == "</w>" and json.dumps(self.PATTERN) in json.dumps(own["pre_tokenizer"])
+        plain = own | {"normalizer": None, "post_processor": None, "added_tokens": []}
+        plain["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "CharDelimiterSplit", "delimiter": " "}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+        self.parts = Tokenizer.from_str(json.dumps(plain))
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.recent: set[str] = set()
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _special(self, text: str) -> bool:
+        """Whether the text must go through the tokenizer whole."""
+        if text.isascii():
+            return "<|" in text or bool(text.encode().translate(None, self.PLAIN))
+        return bool(self.OTHER.search(text))
+
+    def _ids(self, text: str, tokenizer=None) -> np.ndarray:
+        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _learn(self, parts: set[str]) -> None:
         if len(self.known) > CACHE_WORDS:  # those of late stay
@@ -83,19 +102,16 @@ class WordTokens:
         new = list(parts.difference(self.known))
         if not new:
             return
-        ids = self._ids(" ".join(new))
+        ids = self._ids(" ".join(new), self.parts)
         stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
-        if len(stops) != len(new):  # a part that has another split than here
-            for p in new:
-                self.known[p] = self._ids(p).tobytes()
-            return
+        assert len(stops) == len(new), "a part has one end"
         data, at = ids.tobytes(), 0
         for p, z in zip(new, stops.tolist(), strict=True):
             self.known[p] = data[at:z]
             at = z
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if self.OTHER.search(t) else self.PARTS.findall(t.lower()) for t in texts]
+        split = [None if not self.by_parts or self._special(t) else self.PARTS.findall(t.lower()) for t in texts]
         self._learn(set().union(*(p for p in split if p)))
         get = self.known.__getitem__
         return [self._ids(t).tobytes() if p is None else b"".join(map(get, p)) for t, p in zip(texts, split, strict=True)]

@@ -242,12 +242,13 @@ def near_duplicates(
     """id, fp, component_id (smallest id of the component), one row per input row."""
     own = staged(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     distinct = staged(own.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-distinct")
-    roots = staged(components(links(distinct, max_bits, bucket_cap)), "simhash-roots")
-    linked = distinct.join(roots, distinct["fp"] == roots["node"])
-    named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = distinct.join(roots, distinct["fp"] == roots["node"], "left").join(named, "root", "left")
-    # a fingerprint without links is its own component; one whose rows all have null identifiers may take another's
-    classes = classes.select("fp", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
+    # nodes are in the order of their identifiers, so that a component's root carries its identifier and nothing is grouped by component
+    node = F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("id"), "fp")
+    nodes = distinct.select("fp", node.alias("node"))
+    met = links(distinct, max_bits, bucket_cap)
+    met = met.join(nodes.select(F.col("fp").alias("a"), F.col("node").alias("from")), "a").join(nodes.select(F.col("fp").alias("b"), F.col("node").alias("to")), "b")
+    roots = components(met.select(F.col("from").alias("a"), F.col("to").alias("b"))).select(F.col("node.fp").alias("fp"), F.col("root.id").alias("root_id"))
+    classes = distinct.join(roots, "fp", "left").select("fp", F.coalesce("root_id", "first_id").alias("component_id"))
     return own.join(classes, "fp").select("id", "fp", "component_id")
 
 
