@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, table
+from .common import map_arrow, quoted, table
 from .sampling import draw, fold
 
 DIM_BITS = 11
@@ -128,7 +128,7 @@ def train(rows: DataFrame, id_col: Column, text_col: Column, lang_col: Column, p
             x = [trigrams(t.as_py()).astype(np.float16).tobytes() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.binary())], ["lang", "x"])
 
-    got = chosen.mapInArrow(vectors, "lang string, x binary").toArrow()
+    got = map_arrow(chosen, vectors, "lang string, x binary").toArrow()
     if not got.num_rows:
         return None
     order = np.lexsort([got.column("x").to_numpy(), got.column("lang").to_numpy().astype(str)])  # the same model whatever the order of tasks
@@ -156,7 +156,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                         lang[i] = model.languages[n]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang), pa.array(score), pa.array(doubt)], ["id", "lang_pred", "score", "ambiguous"])
 
-    return rows.mapInArrow(scored, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double, ambiguous boolean")
+    return map_arrow(rows, scored, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double, ambiguous boolean")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

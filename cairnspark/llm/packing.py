@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import quoted, staged, table
+from .common import map_arrow, quoted, staged, table
 
 CAPACITY = 2048
 END_ID = 0
@@ -173,7 +173,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long, task int, number long")
+    return map_arrow(rows, cut, f"id {kind}, piece int, start long, length long, ids_crc32 long, task int, number long")
 
 
 def _best_fit(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[int]:
@@ -293,7 +293,7 @@ def pack(
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(sequence), pa.array(offset)], ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     kind = cut.schema["id"].dataType.simpleString()
-    return ranked.mapInArrow(place, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return map_arrow(ranked, place, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

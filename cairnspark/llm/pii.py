@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import quoted, table
+from .common import map_arrow, quoted, table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "login", "account")
@@ -156,7 +156,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataF
             found = [[{"kind": k, "start": s, "end": e} for k, s, e in finder.find(t.as_py() or "")] for t in b.column(text_at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, kind)], [*b.schema.names, out])
 
-    return rows.mapInArrow(scan, T.StructType([*rows.schema.fields, T.StructField(out, SPANS)]))
+    return map_arrow(rows, scan, T.StructType([*rows.schema.fields, T.StructField(out, SPANS)]))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -180,7 +180,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
             texts = pa.array([clean(finder, t.as_py()) for t in b.column(text_at)], b.schema.field(text_at).type)
             yield b.set_column(text_at, b.schema.field(text_at), texts)
 
-    return rows.mapInArrow(scan, rows.schema)
+    return map_arrow(rows, scan, rows.schema)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, staged, table
+from .common import map_arrow, quoted, staged, table
 from .sampling import bounded, fold
 
 MAX_POSITIVE = 6000
@@ -124,7 +124,7 @@ def _gather(rows: DataFrame) -> np.ndarray:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([statistics(t.as_py()).tobytes() for t in b.column(0)], pa.binary())], ["x"])
 
-    got = sorted(rows.mapInArrow(stats, "x binary").toArrow().column("x").to_pylist())
+    got = sorted(map_arrow(rows, stats, "x binary").toArrow().column("x").to_pylist())
     return np.frombuffer(b"".join(got), dtype=np.float32).reshape(-1, N_STATS).astype(np.float64)
 
 
@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: Model | None, prior: float, id_col: str = "doc
             s = np.full(len(x), prior) if model is None or not x else model.score(np.stack(x).astype(np.float64))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], ["id", "score"])
 
-    return rows.mapInArrow(scored, f"id {rows.schema['id'].dataType.simpleString()}, score double")
+    return map_arrow(rows, scored, f"id {rows.schema['id'].dataType.simpleString()}, score double")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

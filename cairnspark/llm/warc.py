@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, scratch_path, staged, table
+from .common import map_arrow, quoted, scratch_path, staged, table
 
 DATE = "2024-01-01T00:00:00Z"
 ARCHIVE_BYTES = 256 << 20
@@ -141,7 +141,7 @@ def write_archives(pages: DataFrame, base: str, id_col: str = "page_id", url_col
             if out is not None:
                 out.close()
 
-    return rows.mapInArrow(write, LINE)
+    return map_arrow(rows, write, LINE)
 
 
 def _place(key: str, page_id: int | None) -> tuple[bytes, int]:
@@ -192,7 +192,7 @@ class CaptureIndex:
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([directory[0][0]], pa.string()), pa.array([directory[0][1]], pa.int64())], ["file", "first_key", "first_page"])
 
         dealt = captures.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        files = staged(dealt.mapInArrow(write, "file string, first_key string, first_page long"), "warc-index-files")
+        files = staged(map_arrow(dealt, write, "file string, first_key string, first_page long"), "warc-index-files")
         return cls(spark, base, files)
 
     def lookup(self, queries: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ class CaptureIndex:
 
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         order = [F.col("url_key").asc(), F.col("page_id").asc_nulls_first()]
-        return queries.select("url_key", "page_id").repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(search, LINE)
+        return map_arrow(queries.select("url_key", "page_id").repartitionByRange(n, *order).sortWithinPartitions(*order), search, LINE)
 
 
 def read_records(captures: DataFrame, base: str) -> DataFrame:
@@ -290,7 +290,7 @@ def read_records(captures: DataFrame, base: str) -> DataFrame:
             f.close()
 
     rows = captures.select("file", "offset", "length").repartitionByRange(n, "file", "offset").sortWithinPartitions("file", "offset")
-    return rows.mapInArrow(read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    return map_arrow(rows, read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
 def archive_and_read(pages: DataFrame, base: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", **kw) -> tuple[CaptureIndex, DataFrame]:
