@@ -1,6 +1,494 @@
-"""Name -> query and name -> SQL for the engine's own operators."""
+"""Name -> query and name -> SQL for the engine's own operators over the driver's tables."""
 
 from __future__ import annotations
 
+import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import display, geo, months, titles
+from ..operators import entities, extents, inlinks, labels, pages, views
+from ..sinks import files
+from ..sources import insert_dump, links, pageviews
+from . import checks, reports, serve
+from . import stand_in as S
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+A, P = f"({S.oracle(S.ARTICLES)})", f"({S.oracle(S.POINTS)})"
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ── views and sizes ─────────────────────────────────────────────
+
+@query(f"""
+WITH v AS ({S.oracle(S.VIEWS)}), g AS ({S.VIEW_PAGES}),
+t AS (
+  SELECT page_id, month, sum(views) AS views FROM (
+    SELECT g.page_id, v.month, v.views FROM v JOIN g ON v.page_id = g.page_id
+    UNION ALL SELECT g.page_id, v.month, v.views FROM v JOIN g ON v.page_id IS NULL AND v.title = g.title
+  ) GROUP BY page_id, month
+), grid AS (SELECT p.page_id, m.month FROM (SELECT DISTINCT page_id FROM t) p, (SELECT DISTINCT month FROM v) m)
+SELECT page_id, CAST(round_even(median(coalesce(views, 0)), 0) AS INT) AS views FROM grid LEFT JOIN t USING (page_id, month) GROUP BY page_id
+""")
+def median_views(spark, sf_dir):
+    return views.median_views(S.frame(spark, sf_dir, S.VIEWS), S.frame(spark, sf_dir, S.VIEW_PAGES))
+
+
+@query(f"""
+WITH f AS ({S.FEATURES}), g AS ({S.FEATURE_PAGES}), h AS (
+  SELECT page_id, osm_type, osm_id, extent_km, area_km2 FROM g JOIN f USING (qid)
+  UNION ALL SELECT page_id, osm_type, osm_id, extent_km, area_km2 FROM g JOIN f ON wiki_lang = 'en' AND wiki_title = title
+  UNION ALL SELECT page_id, osm_type, osm_id, extent_km, area_km2 FROM g JOIN f ON osm_type = 'relation' AND osm_id = osm_relation
+)
+SELECT page_id, extent_km::DOUBLE AS extent_km, area_km2::DOUBLE AS area_km2, osm_type || '/' || osm_id AS osm_source
+FROM h WHERE extent_km > 0 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY extent_km DESC, osm_id, osm_type) = 1
+""")
+def largest_extent(spark, sf_dir):
+    out = extents.largest_extent(S.frame(spark, sf_dir, S.FEATURE_PAGES), S.frame(spark, sf_dir, S.FEATURES))
+    return out.withColumns({c: F.col(c).cast("double") for c in ("extent_km", "area_km2")})
+
+
+@query("""
+SELECT page_id, round(greatest((xmax - xmin) * 111.32::DOUBLE * cos(radians((ymin + ymax) / 2)), (ymax - ymin) * 110.57::DOUBLE), 6) AS extent_km,
+       xmax - xmin > 180 AS antimeridian
+FROM (SELECT page_id, lon AS xmin, lat AS ymin, lon + (page_id % 50) / 10.0::DOUBLE AS xmax, lat + (page_id % 30) / 10.0::DOUBLE AS ymax FROM """ + P + """)
+""")
+def extent_km(spark, sf_dir):
+    p = S.frame(spark, sf_dir, S.POINTS)
+    box = F.col("lon"), F.col("lat"), F.col("lon") + (F.col("page_id") % 50) / F.lit(10.0), F.col("lat") + (F.col("page_id") % 30) / F.lit(10.0)
+    return p.select("page_id", F.round(geo.extent_km(*box), 6).alias("extent_km"), geo.crosses_antimeridian(box[0], box[2]).alias("antimeridian"))
+
+
+# ── serving ─────────────────────────────────────────────────────
+
+@query(f"SELECT page_id, label, instance_of, country, inlink_count, lon, lat FROM {A} ORDER BY inlink_count DESC, page_id LIMIT 20")
+def most_notable(spark, sf_dir):
+    top = serve.most_notable(S.articles(spark, sf_dir))
+    number = lambda k: F.regexp_extract("point", r"POINT \((\S+) (\S+)\)", k).cast("double")
+    return top.select("page_id", "label", "instance_of", "country", "inlink_count", number(1).alias("lon"), number(2).alias("lat"))
+
+
+@query(f"""
+SELECT page_id, label, instance_of, country, inlink_count FROM {A}
+WHERE lon BETWEEN 1.7 AND 33.0 AND lat BETWEEN 40.4 AND 59.3 ORDER BY inlink_count DESC, page_id LIMIT 20
+""")
+def bbox_topk(spark, sf_dir):
+    return serve.in_box(S.articles(spark, sf_dir), 1.7, 40.4, 33.0, 59.3)
+
+
+@query(f"SELECT description, image_url, gt_type, page_len, elevation, instance_of, country, population FROM {A} WHERE page_id = 77 LIMIT 1")
+def point_lookup(spark, sf_dir):
+    return serve.details(S.articles(spark, sf_dir), 77)
+
+
+@query(f"SELECT page_id, label, country FROM {A} WHERE label = (SELECT min(label) FROM {A} WHERE page_id = 12)")
+def label_lookup(spark, sf_dir):
+    a = S.articles(spark, sf_dir)
+    label = a.where("page_id = 12").agg(F.min("label")).first()[0]
+    return serve.by_label(a, label or "").select("page_id", "label", "country")
+
+
+@query(f"""
+SELECT lower(label) AS label, lon, lat FROM {A} WHERE lower(label) >= 'customer 0000001' AND lower(label) < 'customer 0000001~'
+ORDER BY inlink_count DESC, lower(label), lon LIMIT 8
+""")
+def prefix_search(spark, sf_dir):
+    return serve.search(files.search_index(S.articles(spark, sf_dir)), "Customer 0000001").select("label", "lon", "lat")
+
+
+@query(f"SELECT lower(label) AS label, lon, lat, inlink_count FROM {A}")
+def search_index(spark, sf_dir):
+    return files.search_index(S.articles(spark, sf_dir)).orderBy("label", "lon", "lat")
+
+
+SMALL = "(" + ", ".join(f"'{w}'" for w in display.SMALL_WORDS) + ")"
+
+
+@query(f"""
+SELECT p_partkey, array_to_string(list_transform(string_split(s, ' '),
+         lambda w, i: CASE WHEN w = '' OR (i > 1 AND w IN {SMALL}) THEN w ELSE upper(substr(w, 1, 1)) || substr(w, 2) END), ' ') AS title
+FROM (SELECT p_partkey, concat('the ', p_name, ' of  the ', lower(p_type)) AS s FROM part)
+""")
+def title_case(spark, sf_dir):
+    s = F.concat(F.lit("the "), F.col("p_name"), F.lit(" of  the "), F.lower("p_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", display.title_case(s).alias("title"))
+
+
+@query(f"""
+SELECT page_id, concat_ws(' · ',
+  CASE WHEN instance_of <> '' THEN instance_of WHEN gt_type <> '' THEN gt_type END,
+  CASE WHEN country <> '' AND NOT contains(lower(instance_of), lower(country)) THEN country END,
+  CASE WHEN population >= 1000000 THEN printf('%.1fM pop', round(population / 1000000.0::DOUBLE, 1)) WHEN population >= 1000 THEN printf('%.1fK pop', round(population / 1000.0::DOUBLE, 1))
+       WHEN population IS NOT NULL THEN population || ' pop' END,
+  CASE WHEN page_len > 0 THEN printf('%.1f KB', round(page_len / 1024.0::DOUBLE, 1)) END,
+  format('{{:,}}', inlink_count) || ' inlinks', 'elev ' || format('{{:,}}', elevation) || ' m') AS popup
+FROM {A}
+""")
+def popup_text(spark, sf_dir):
+    return serve.popups(S.articles(spark, sf_dir)).select("page_id", "popup")
+
+
+@query(f"SELECT page_id, round(2.5::DOUBLE + least(280, greatest(0, sqrt(inlink_count))) / 280 * 17.5::DOUBLE, 9) AS radius FROM {P}")
+def circle_radius(spark, sf_dir):
+    return S.frame(spark, sf_dir, S.POINTS).select("page_id", F.round(display.circle_radius(F.col("inlink_count")), 9).alias("radius"))
+
+
+@query(f"""
+SELECT page_id, '{{"type":"Feature","properties":{{"page_id":' || page_id || ',"label":"' || label || '","inlink_count":' || inlink_count || ',"instance_of_qid":"' || instance_of_qid || '"}}}}' AS feature, lon, lat
+FROM {A}
+""")
+def geojson_features(spark, sf_dir):
+    made = files.features(S.articles(spark, sf_dir)).select("value", F.from_json("value", "geometry struct<type: string, coordinates: array<double>>, properties struct<page_id: int>").alias("j"))
+    rest = F.regexp_replace("value", r'"geometry":\{.*?\},', "")
+    return made.select("j.properties.page_id", rest.alias("feature"), F.get("j.geometry.coordinates", F.lit(0)).alias("lon"), F.get("j.geometry.coordinates", F.lit(1)).alias("lat"))
+
+
+# ── entities, pages, labels ─────────────────────────────────────
+
+@query("""
+SELECT user_id, arg_min(value, event_id) FILTER (event_type = 'view') AS first_view, arg_min(value, event_id) FILTER (event_type = 'click') AS first_click,
+       arg_max(value, event_id) FILTER (event_type = 'signup') AS last_signup, arg_max(value, event_id) FILTER (event_type = 'error') AS last_error
+FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase') > 0
+""")
+def entity_pivot(spark, sf_dir):
+    v, seq, of = F.col("value"), F.col("event_id"), lambda t: F.col("event_type") == t
+    e = table(spark, sf_dir, "events")
+    placed = e.where(of("purchase")).select("user_id").distinct()
+    return e.join(placed, "user_id", "left_semi").groupBy("user_id").agg(
+        entities.first(v, seq, of("view")).alias("first_view"), entities.first(v, seq, of("click")).alias("first_click"),
+        entities.last(v, seq, of("signup")).alias("last_signup"), entities.last(v, seq, of("error")).alias("last_error"),
+    )
+
+
+@query("SELECT o_custkey, string_agg(o_orderpriority, '|' ORDER BY o_orderkey) AS priorities FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_custkey")
+def ordered_list(spark, sf_dir):
+    listed = entities.in_order(F.col("o_orderpriority"), F.col("o_orderkey"), F.col("o_orderstatus") != "F")
+    out = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(listed.alias("l"))
+    return out.where(F.size("l") > 0).select("o_custkey", F.array_join("l", "|").alias("priorities"))
+
+
+@query("""
+SELECT c_custkey AS page_id, c_name AS qid, coalesce('https://commons.wikimedia.org/wiki/Special:FilePath/' || image, c_mktsegment, '') AS image_url, coalesce(description, '') AS description
+FROM customer JOIN (
+  SELECT user_id, arg_max(props, event_id) FILTER (event_type = 'view') AS image, arg_max(props, event_id) FILTER (event_type = 'click') AS description
+  FROM (SELECT user_id, event_id, event_type, replace(props, ' ', '_') AS props FROM events WHERE props <> '') GROUP BY user_id
+) ON user_id = c_custkey
+""")
+def page_props_pivot(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    props = e.select(F.col("user_id").alias("page_id"), F.col("event_type").alias("propname"), F.translate("props", " ", "_").alias("value"), F.col("event_id").alias("seq"))
+    # every page has its entity under its own number
+    ids = e.select(F.col("user_id").alias("page_id"), F.lit("entity").alias("propname"), F.concat(F.lit("Q"), "user_id").alias("value"), F.col("event_id").alias("seq"))
+    known = table(spark, sf_dir, "customer").select(F.concat(F.lit("Q"), "c_custkey").alias("qid"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("p18_image"))
+    wide = pages.page_properties(props.unionByName(ids), {"entity": "qid", "view": "page_image", "click": "description"})
+    return pages.with_entities(wide, known).select("page_id", F.col("name").alias("qid"), "image_url", "description")
+
+
+@query("""
+SELECT l_orderkey AS page_id, coalesce(arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey)) FILTER (l_linestatus = 'O'), arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey))) AS gt_type
+FROM lineitem WHERE l_quantity > 5 GROUP BY l_orderkey
+""")
+def primary_first(spark, sf_dir):
+    seq = F.col("l_linenumber").cast("long") * 10**12 + F.col("l_partkey") * 10**6 + F.col("l_suppkey")
+    globe, primary = F.when(F.col("l_quantity") > 5, "earth").otherwise("moon"), (F.col("l_linestatus") == "O").cast("int")
+    return pages.place_types(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page_id"), globe.alias("globe"), primary.alias("is_primary"), F.col("l_returnflag").alias("gt_type"), seq.alias("seq")))
+
+
+@query("""
+SELECT o_orderkey AS page_id, c_name AS title, CAST(floor(o_totalprice) AS INT) AS page_len
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority <> '5-LOW' AND o_orderstatus <> 'P'
+""")
+def article_filter(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    raw = o.select(
+        F.col("o_orderkey").alias("page_id"), F.when(F.col("o_orderpriority") != "5-LOW", 0).alias("ns"), F.col("c_name").alias("title"),
+        (F.col("o_orderstatus") == "P").cast("int").alias("is_redirect"), F.floor("o_totalprice").cast("int").alias("page_len"),
+    )
+    return pages.articles(raw)
+
+
+@query("""
+SELECT c_custkey AS page_id, coalesce(n, 0)::INT AS inlink_count
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey) ON o_custkey = c_custkey
+""")
+def inlink_count(spark, sf_dir):
+    own = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), F.col("c_name").alias("title"))
+    targets = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("target_id"), "o_custkey")
+    named = targets.join(own.select(F.col("page_id").alias("o_custkey"), "title"), "o_custkey").select("target_id", "title")
+    found = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("target_id"))
+    return inlinks.with_inlinks(own, inlinks.inlink_counts(found, named, own)).select("page_id", "inlink_count")
+
+
+LABELLED = "SELECT 'Q' || n_nationkey AS qid, n_name AS label FROM nation WHERE n_nationkey > 4"
+
+
+def _nation_labels(spark, sf_dir, more_than: int) -> DataFrame:
+    return table(spark, sf_dir, "nation").where(F.col("n_nationkey") > more_than).select(F.concat(F.lit("Q"), "n_nationkey").alias("qid"), F.col("n_name").alias("label"))
+
+
+@query(f"""
+SELECT c_custkey, coalesce(a.label, '') AS instance_of, coalesce(b.label, '') AS country
+FROM (SELECT c_custkey, 'Q' || c_nationkey AS x, 'Q' || (c_custkey % 40) AS y FROM customer) LEFT JOIN ({LABELLED}) a ON a.qid = x LEFT JOIN ({LABELLED}) b ON b.qid = y
+""")
+def label_resolution(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("Q"), "c_nationkey").alias("instance_of"), F.concat(F.lit("Q"), F.col("c_custkey") % 40).alias("country"))
+    return labels.resolved(rows, _nation_labels(spark, sf_dir, 4), "instance_of", "country")
+
+
+@query(f"SELECT DISTINCT 'Q' || k AS qid FROM (SELECT s_nationkey AS k FROM supplier UNION SELECT s_suppkey % 50 FROM supplier) WHERE 'Q' || k NOT IN (SELECT qid FROM ({LABELLED}))")
+def labels_to_fetch(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select(F.concat(F.lit("Q"), "s_nationkey").alias("a"), F.concat(F.lit("Q"), F.col("s_suppkey") % 50).alias("b"))
+    return labels.to_fetch(labels.wanted(rows, "a", "b"), _nation_labels(spark, sf_dir, 4))
+
+
+@query(f"SELECT DISTINCT 'Q' || s_nationkey AS qid FROM supplier WHERE 'Q' || s_nationkey IN (SELECT qid FROM ({LABELLED}))")
+def labels_known(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select(F.concat(F.lit("Q"), "s_nationkey").alias("a"))
+    return labels.known(labels.wanted(rows, "a"), _nation_labels(spark, sf_dir, 4))
+
+
+@query("""
+SELECT coalesce(a.qid, b.qid) AS qid, coalesce(b.label, a.label) AS label
+FROM (SELECT 'Q' || n_nationkey AS qid, n_name AS label FROM nation WHERE n_nationkey > 4) a FULL JOIN (SELECT 'Q' || r_regionkey * 4 AS qid, r_name AS label FROM region) b ON a.qid = b.qid
+""")
+def label_cache_merge(spark, sf_dir):
+    new = table(spark, sf_dir, "region").select(F.concat(F.lit("Q"), F.col("r_regionkey") * 4).alias("qid"), F.col("r_name").alias("label"))
+    return labels.merged(_nation_labels(spark, sf_dir, 4), new)
+
+
+@query("""
+SELECT 'c' || c_custkey AS x, 'Q' || q.o_custkey AS qid, w.p AS wp, c_name AS env, c_acctbal AS area
+FROM customer JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') q ON q.o_custkey = c_custkey
+LEFT JOIN (SELECT o_custkey, max(o_orderstatus) AS p FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY o_custkey) w ON w.o_custkey = c_custkey
+UNION ALL
+SELECT 'c' || c_custkey, NULL, w.p, c_name, c_acctbal
+FROM customer JOIN (SELECT o_custkey, max(o_orderstatus) AS p FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY o_custkey) w ON w.o_custkey = c_custkey
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c_custkey AND o_orderpriority = '1-URGENT')
+""")
+def not_exists(spark, sf_dir):
+    from ..sources.osm_tsv import feature_families
+
+    x = lambda c: F.concat(F.lit("c"), c).alias("x")
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    urgent = o.where("o_orderpriority = '1-URGENT'").select("o_custkey").distinct().select(x("o_custkey"), F.concat(F.lit("Q"), "o_custkey").alias("qid"))
+    low = o.where("o_orderpriority = '5-LOW'").groupBy("o_custkey").agg(F.max("o_orderstatus").alias("wp")).select(x("o_custkey"), "wp")
+    return feature_families(c.select(x("c_custkey")), urgent, low, c.select(x("c_custkey"), F.col("c_name").alias("env")), c.select(x("c_custkey"), F.col("c_acctbal").alias("area")))
+
+
+# ── parsing ─────────────────────────────────────────────────────
+
+@query("""
+SELECT page_id, link, count(*) AS n
+FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="/([^"]*)"', 1)) AS link FROM pages) GROUP BY page_id, link
+""")
+def html_link_extract(spark, sf_dir):
+    found = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="/([^"]*)"'), F.lit(1))).alias("link"))
+    return found.groupBy("page_id", "link").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, regexp_extract(url, '^https?://[^/]+/([a-z]{2})/', 1) AS lang,
+       regexp_extract(url, '/(\\d+)', 1)::BIGINT AS number FROM pages
+""")
+def url_parts(spark, sf_dir):
+    part = lambda form: F.regexp_extract("url", form, 1)
+    return table(spark, sf_dir, "pages").select("page_id", part(r"^https?://([^/]+)").alias("host"), part(r"^https?://[^/]+/([a-z]{2})/").alias("lang"), part(r"/(\d+)").try_cast("long").alias("number"))
+
+
+@query("""
+SELECT p_partkey, 'en' AS lang, upper(substr(t, 1, 1)) || substr(t, 2) AS title FROM (SELECT p_partkey, replace(p_name, ' ', '_') || '+' || p_size AS t FROM part)
+""")
+def wiki_titles(spark, sf_dir):
+    name, size = F.col("p_name"), F.col("p_size").cast("string")
+    address = F.concat(F.lit("<https://en.wikipedia.org/wiki/"), F.replace(name, F.lit(" "), F.lit("%20")), F.lit("+"), size, F.lit(">"))
+    literal = F.concat(F.lit('"en:'), name, F.lit("+"), size, F.lit('"'))
+    w = titles.wiki_reference(F.when(F.col("p_partkey") % 2 == 0, address).otherwise(literal))
+    return table(spark, sf_dir, "part").select("p_partkey", w.alias("w")).select("p_partkey", "w.lang", "w.title")
+
+
+@query("""
+SELECT CASE WHEN user_id % 4 <> 3 THEN user_id::INT END AS page_id, CASE WHEN user_id % 4 = 3 THEN event_type || '_' || user_id END AS title, sum(floor(value))::BIGINT AS views
+FROM events WHERE event_type NOT IN ('error', 'signup') GROUP BY 1, 2
+""")
+def page_lines(spark, sf_dir):
+    # five fields without a page for some users, a talk page for an event type, a number that is none for another
+    user = F.col("user_id").cast("string")
+    title = F.concat(F.when(F.col("event_type") == "error", "Talk:").otherwise(""), F.col("event_type"), F.lit("_"), user)
+    n = F.when(F.col("event_type") == "signup", F.lit("x")).otherwise(F.floor("value").cast("string"))
+    six = F.concat_ws(" ", F.lit("en.wikipedia"), title, user, F.lit("desktop"), n, F.lit("A1"))
+    five = F.concat_ws(" ", F.lit("en.wikipedia"), title, F.lit("mobile"), n, F.lit("A1"))
+    e = table(spark, sf_dir, "events")
+    lines = e.select(F.when(F.col("user_id") % 4 == 3, five).otherwise(six).alias("value")).unionByName(e.select(F.concat(F.lit("fr.wikipedia x 1 desktop "), user, F.lit(" A1")).alias("value")))
+    return pageviews.views(lines)
+
+
+
+@query("SELECT p_partkey AS target_id, p_name || '''s),(' || p_brand AS title FROM part WHERE p_size % 2 = 0")
+def insert_links(spark, sf_dir):
+    name = F.concat(F.col("p_name"), F.lit(r"\'s),("), F.col("p_brand"))
+    one = F.concat(F.lit("("), F.col("p_partkey"), F.lit(","), F.when(F.col("p_size") % 2 == 0, "0").otherwise("1"), F.lit(",'"), name, F.lit("')"))
+    lines = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 20).alias("g")).agg(F.concat(F.lit("INSERT INTO `linktarget` VALUES "), F.array_join(F.collect_list(one), ","), F.lit(";")).alias("value"))
+    return links.link_targets(lines)
+
+
+@query("""
+SELECT c_custkey AS id, c_name || chr(10) || '\\''"),(' || chr(9) AS name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS balance, c_nationkey::BIGINT AS nation FROM customer
+""")
+def insert_dump_roundtrip(spark, sf_dir):
+    text = F.concat(F.lit("'"), F.col("c_name"), F.lit("\\n\\\\\\'\\\"),(\\t'"))
+    number = F.when(F.col("c_custkey") % 3 == 0, F.lit("NULL")).otherwise(F.col("c_acctbal").cast("string"))
+    one = F.concat(F.lit("("), F.concat_ws(",", F.col("c_custkey").cast("string"), text, number, F.col("c_nationkey").cast("string")), F.lit(")"))
+    c = table(spark, sf_dir, "customer")
+    many = c.where("c_custkey % 2 = 0").groupBy((F.col("c_custkey") % 10).alias("g")).agg(F.concat(F.lit("INSERT INTO `t` VALUES "), F.array_join(F.collect_list(one), ","), F.lit(";")).alias("value")).select("value")
+    single = c.where("c_custkey % 2 = 1").select(F.concat(one, F.lit(",")).alias("value"))
+    rows = insert_dump.tuples(many.unionByName(single), "t")
+    return insert_dump.columns(rows, 4, id=(0, "long"), name=(1, "string"), balance=(2, "double"), nation=(3, "long")).drop("seq")
+
+
+# ── quality ─────────────────────────────────────────────────────
+
+@query(f"""
+SELECT count(*) AS n, count(*) FILTER (qid <> '') AS with_qid, count(*) FILTER (instance_of <> '') AS with_class, count(*) FILTER (country <> '') AS with_country,
+       count(population) AS with_population, count(*) FILTER (geonames_id <> '') AS with_geonames, count(*) FILTER (image_url <> '') AS with_image,
+       count(*) FILTER (len(related_images) > 0) AS with_related, count(*) FILTER (gt_type <> '') AS with_type, count(pageviews_month) AS with_views,
+       count(extent_km) AS with_extent, count(area_km2) AS with_area, max(inlink_count) AS top_links, min(elevation)::INT AS lowest, max(elevation)::INT AS highest,
+       round(avg(elevation), 6) AS mean_elevation, round(avg(page_len), 6) AS mean_len, max(page_len) AS longest
+FROM {A}
+""")
+def coverage_counts(spark, sf_dir):
+    out = checks.profile(S.articles(spark, sf_dir))
+    return out.withColumns({"lowest": F.col("lowest").cast("int"), "highest": F.col("highest").cast("int"), "mean_elevation": F.round("mean_elevation", 6), "mean_len": F.round("mean_len", 6)})
+
+
+@query("""
+SELECT lang AS value, count(*) AS n, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM documents) AS percent FROM documents GROUP BY lang ORDER BY n DESC, value NULLS LAST LIMIT 15
+""")
+def breakdown(spark, sf_dir):
+    return checks.breakdown(table(spark, sf_dir, "documents"), "lang", 15)
+
+
+@query(f"""
+SELECT t AS tier, count(*) FILTER (inlink_count >= greatest(t, 1)) AS n FROM {P}, (VALUES (0), (50), (500), (2000), (5000)) v(t) GROUP BY t
+""")
+def inlink_tiers(spark, sf_dir):
+    return checks.tiers(S.frame(spark, sf_dir, S.POINTS))
+
+
+BOUNDS = checks.Bounds(rows=(1000, 10_000_000), known_elevation={}, known_views={}, known_extent={})
+
+
+@query(f"""
+WITH a AS (SELECT * FROM {A}), n AS (SELECT count(*) AS n FROM a)
+SELECT * FROM (VALUES
+  ('rows within bounds', (SELECT n BETWEEN 1000 AND 10000000 FROM n)),
+  ('no geometry is null', true),
+  ('coordinates in range', NOT EXISTS (SELECT 1 FROM a WHERE NOT (lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90))),
+  ('instance_of covers enough', (SELECT count(*) FILTER (instance_of <> '') > max(n) * 0.3 FROM a, n)),
+  ('country covers enough', (SELECT count(*) FILTER (country <> '') > max(n) * 0.3 FROM a, n)),
+  ('instance_of has no raw identifiers', NOT EXISTS (SELECT 1 FROM a WHERE regexp_full_match(instance_of, 'Q[0-9]+'))),
+  ('country has no raw identifiers', NOT EXISTS (SELECT 1 FROM a WHERE regexp_full_match(country, 'Q[0-9]+'))),
+  ('some article has many inlinks', (SELECT max(inlink_count) > 10000 FROM a)),
+  ('enough articles have inlinks', (SELECT count(*) FILTER (inlink_count > 0) > max(n) * 0.5 FROM a, n)),
+  ('elevation is never null', NOT EXISTS (SELECT 1 FROM a WHERE elevation IS NULL)),
+  ('elevation is not too low', (SELECT min(elevation) > -12000 FROM a)),
+  ('elevation is not too high', (SELECT max(elevation) < 9000 FROM a)),
+  ('instance_of_qid covers enough', (SELECT count(*) FILTER (instance_of_qid <> '') > max(n) * 0.3 FROM a, n)),
+  ('instance_of_qid is well formed', NOT EXISTS (SELECT 1 FROM a WHERE instance_of_qid <> '' AND NOT regexp_full_match(instance_of_qid, 'Q[0-9]+'))),
+  ('instance_of implies instance_of_qid', NOT EXISTS (SELECT 1 FROM a WHERE instance_of <> '' AND instance_of_qid = '')),
+  ('enough articles have views', (SELECT count(pageviews_month) > max(n) * 0.5 FROM a, n)),
+  ('some articles have no views', (SELECT count(pageviews_month) < max(n) FROM a, n)),
+  ('extent, area and source agree', NOT EXISTS (SELECT 1 FROM a WHERE (extent_km IS NULL) <> (osm_source IS NULL) OR (area_km2 IS NOT NULL AND extent_km IS NULL))),
+  ('extent and area are plausible', NOT EXISTS (SELECT 1 FROM a WHERE extent_km <= 0 OR extent_km > 20000 OR area_km2 <= 0))
+) v(name, passed)
+""")
+def consistency_checks(spark, sf_dir):
+    return checks.run_checks(S.articles(spark, sf_dir), BOUNDS)
+
+
+@query(f"SELECT label FROM (VALUES ('Paris'), ('Customer 000000000 12')) e(label) WHERE label NOT IN (SELECT label FROM {A})")
+def missing_labels(spark, sf_dir):
+    return checks.missing_labels(S.articles(spark, sf_dir), spark.createDataFrame([("Paris",), ("Customer 000000000 12",)], "label string"))
+
+
+@query(f"""
+SELECT page_id, label, coalesce(pageviews_month, 0) AS rank, inlink_count FROM {A}
+WHERE instance_of IN ('mountain', 'Lake', 'city park') AND instance_of <> 'city park' ORDER BY rank DESC, inlink_count DESC, page_id LIMIT 40
+""")
+def natural_class_topk(spark, sf_dir):
+    a = S.articles(spark, sf_dir)
+    return reports.natural_top(a, a.select("page_id", F.col("pageviews_month").alias("views")).where("views is not null"), 40)
+
+
+@query(f"""
+WITH f AS ({S.FEATURES}), a AS (SELECT page_id, qid, replace(label, ' ', '_') AS title FROM {A}), h AS (
+  SELECT page_id FROM a JOIN f USING (qid) WHERE extent_km > 0 UNION SELECT page_id FROM a JOIN f ON wiki_lang = 'en' AND wiki_title = title AND extent_km > 0
+)
+SELECT (SELECT count(*) FROM a) AS n, (SELECT count(*) FROM h) AS matched
+""")
+def extent_report(spark, sf_dir):
+    features = S.frame(spark, sf_dir, S.FEATURES)
+    return reports.extent_coverage(S.articles(spark, sf_dir), features, S.frame(spark, sf_dir, S.VIEWS))["overall"]
+
+
+# ── map and geometry ────────────────────────────────────────────
+
+@query(f"""
+WITH RECURSIVE h AS (
+  SELECT page_id, 15 AS k, least(65535, greatest(0, floor((lon + 180) / 360 * 65536)))::BIGINT AS x, least(65535, greatest(0, floor((lat + 90) / 180 * 65536)))::BIGINT AS y, 0::BIGINT AS d FROM {P}
+  UNION ALL
+  SELECT page_id, k - 1, CASE WHEN ry = 0 THEN ty ELSE tx END, CASE WHEN ry = 0 THEN tx ELSE ty END, d + s * s * xor(3 * rx, ry)
+  FROM (
+    SELECT page_id, k, d, s, rx, ry, CASE WHEN ry = 0 AND rx = 1 THEN s - 1 - x % s ELSE x % s END AS tx, CASE WHEN ry = 0 AND rx = 1 THEN s - 1 - y % s ELSE y % s END AS ty
+    FROM (SELECT *, (1::BIGINT << k) AS s, (x >> k) & 1 AS rx, (y >> k) & 1 AS ry FROM h WHERE k >= 0)
+  )
+)
+SELECT page_id, d AS hilbert FROM h WHERE k = -1
+""")
+def hilbert_key(spark, sf_dir):
+    return S.frame(spark, sf_dir, S.POINTS).select("page_id", geo.hilbert(F.col("lon"), F.col("lat")).alias("hilbert"))
+
+
+TILE = """'Copernicus_DSM_COG_10_' || CASE WHEN floor(lat) >= 0 THEN 'N' ELSE 'S' END || lpad(abs(floor(lat))::INT::VARCHAR, 2, '0') || '_00_'
+  || CASE WHEN floor(lon) >= 0 THEN 'E' ELSE 'W' END || lpad(abs(floor(lon))::INT::VARCHAR, 3, '0') || '_00_DEM'"""
+
+
+@query(f"SELECT {TILE} AS tile, count(*) AS n, max(page_id) AS last_page FROM {P} GROUP BY tile")
+def tile_groups(spark, sf_dir):
+    tile = geo.dem_tile(F.col("lat"), F.col("lon"))
+    return S.frame(spark, sf_dir, S.POINTS).groupBy(tile.alias("tile")).agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("last_page"))
+
+
+@query(f"""
+SELECT z, x, y, page_id, inlink_count FROM (
+  SELECT 4 AS z, least(15, greatest(0, floor((lon + 180) / 360 * 16)))::INT AS x,
+         least(15, greatest(0, floor((1 - ln(tan(r) + 1 / cos(r)) / pi()) / 2 * 16)))::INT AS y, page_id, inlink_count
+  FROM (SELECT *, radians(least(85.05112878::DOUBLE, greatest(-85.05112878::DOUBLE, lat))) AS r FROM {P})
+) QUALIFY row_number() OVER (PARTITION BY z, x, y ORDER BY inlink_count DESC, page_id) <= 10
+""")
+def tile_topn(spark, sf_dir):
+    return files.tile_selection(S.frame(spark, sf_dir, S.POINTS), 4, 10).select("z", "x", "y", "page_id", "inlink_count")
+
+
+@query("""
+SELECT strftime(DATE '2026-10-01' - to_months(b::INT), '%Y-%m') AS month, b::INT AS back FROM range(1, 13) r(b)
+""")
+def recent_months(spark, sf_dir):
+    return months.months_before(spark, 12, datetime.date(2026, 10, 17))
