@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
-TRIPLE = StructType.fromDDL("seq long, qid string, prop string, value string")
-ENTITY = StructType.fromDDL(
+KINDS = {
+    "string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "short": T.ShortType(), "double": T.DoubleType(), "float": T.FloatType(),
+    "boolean": T.BooleanType(), "binary": T.BinaryType(), "strings": T.ArrayType(T.StringType()),
+    "box": T.StructType([T.StructField(k, T.DoubleType()) for k in ("xmin", "ymin", "xmax", "ymax")]),
+}
+
+
+def schema(text: str) -> T.StructType:
+    """name kind, ...: kinds as above.  Needs no session."""
+    return T.StructType([T.StructField(name, KINDS[kind]) for name, kind in (field.split() for field in text.split(","))])
+
+
+TRIPLE = schema("seq long, qid string, prop string, value string")
+ENTITY = schema(
     "qid string, lat double, lon double, instance_of string, instance_of_qid string, country string, population long, "
-    "geonames_id string, osm_relation long, p18_image string, related_images array<string>"
+    "geonames_id string, osm_relation long, p18_image string, related_images strings"
 )
-PAGEVIEW_MONTH = StructType.fromDDL("month string, page_id int, title string, views long")
-FEATURE = StructType.fromDDL(
+PAGEVIEW_MONTH = schema("month string, page_id int, title string, views long")
+FEATURE = schema(
     "osm_type string, osm_id long, qid string, wiki_lang string, wiki_title string, "
     "xmin double, ymin double, xmax double, ymax double, antimeridian boolean, extent_km float, area_km2 float"
 )
-SEARCH_INDEX = StructType.fromDDL("label string, lon double, lat double, inlink_count int")
-ARTICLE = StructType.fromDDL(
+SEARCH_INDEX = schema("label string, lon double, lat double, inlink_count int")
+ARTICLE = schema(
     "geometry binary, page_id int, qid string, label string, description string, instance_of string, instance_of_qid string, "
     "country string, population long, geonames_id string, elevation short, gt_type string, page_len int, inlink_count int, "
-    "wikipedia_url string, image_url string, related_images array<string>, pageviews_month int, extent_km float, area_km2 float, "
-    "osm_source string, bbox struct<xmin: double, ymin: double, xmax: double, ymax: double>"
+    "wikipedia_url string, image_url string, related_images strings, pageviews_month int, extent_km float, area_km2 float, "
+    "osm_source string, bbox box"
 )

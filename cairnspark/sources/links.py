@@ -23,4 +23,4 @@ def link_targets(lines: DataFrame) -> DataFrame:
 def page_links(lines: DataFrame) -> DataFrame:
     """target_id of each link from a main-namespace page: a row for each link."""
     found = F.regexp_extract_all("value", F.lit(PAGE_LINK), F.lit(2))
-    return lines.where(F.contains("value", F.lit(",0,"))).select(F.explode(found).cast("long").alias("target_id"))
+    return lines.where(F.contains("value", F.lit(",0,"))).select(F.explode(F.transform(found, lambda x: x.cast("long"))).alias("target_id"))
