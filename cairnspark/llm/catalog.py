@@ -20,5 +20,6 @@ QUERIES = {
 SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op2_mixing": mixing.OP2_SQL,
+    "op9_warc": warc.OP9_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
 }

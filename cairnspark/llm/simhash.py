@@ -5,7 +5,7 @@ shingles (repeats included) have it set.  A fingerprint is one or more words of
 64 bits; the first is of XXH64, the others of what a mixing function makes of it.
 
 *Signatures.*  The bits are cut into few segments, ``max_bits // 2 + 1`` unless
-told otherwise: fingerprints within ``2 x segments - 1`` bits have a segment
+told otherwise (and 2 at least): fingerprints within ``2 x segments - 1`` bits have a segment
 that differs by at most one bit.  Each segment is indexed under its
 one-wildcard variants, a variant being the segment less one bit.  Two segments
 that differ by at most one bit share a variant, so an equality join on
@@ -227,7 +227,9 @@ def _second_signatures(over: DataFrame, names: list[str], segments: list[tuple[i
 
 def links(distinct: DataFrame, names: list[str], max_bits: int = 2, n_segments: int | None = None, bucket_cap: int = BUCKET_CAP) -> DataFrame:
     """a0.., b0..: enough links between distinct fingerprints (columns ``names``) to connect what is within ``max_bits`` and meets."""
-    n_segments = n_segments or max(len(names), max_bits // 2 + 1)
+    if n_segments is None:  # two at least: a bucket that is too large is parted by another segment
+        n_segments = max(2, max_bits // 2 + 1)
+        n_segments += -n_segments % len(names)
     segments = cut(len(names), n_segments)
     guarantee = min(max_bits, 2 * n_segments - 1)
     ends = [f"a{k}" for k in range(len(names))] + [f"b{k}" for k in range(len(names))]
@@ -296,7 +298,8 @@ def near_duplicates(
     for end in "ab":
         met = met.join(distinct.select(*[F.col(n).alias(f"{end}{k}") for k, n in enumerate(names)], node.alias(f"node_{end}")), [f"{end}{k}" for k in range(words)])
     roots = components(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))).select(*[F.col("node")[n].alias(n) for n in names], F.col("root.id").alias("root_id"))
-    classes = distinct.join(roots, names, "left").select(*names, F.coalesce("root_id", "first_id").alias("component_id"))
+    classes = staged(distinct.join(roots, names, "left").select(*names, F.coalesce("root_id", "first_id").alias("component_id")), "simhash-classes")
+    # both sides are plain tables, so that a fingerprint of very many copies can be split over tasks
     return own.join(classes, names).select("id", *names, "component_id")
 
 

@@ -304,3 +304,15 @@ def archive_and_read(pages: DataFrame, base: str, id_col: str = "page_id", url_c
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, records = archive_and_read(table(spark, sf_dir, "pages").select("page_id", "url", "html"), scratch_path(spark, "warc"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Base 32 of SHA-1: 40 hexadecimal digits are 8 groups of 5, each of 4 characters of 5 bits.
+OP9_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS top FROM p GROUP BY html)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (5 * (3 - i % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM p JOIN g USING (html)
+"""
