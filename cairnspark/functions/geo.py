@@ -69,6 +69,21 @@ def wkb_point(lon: Column, lat: Column) -> Column:
     return F.concat(F.unhex(F.lit("0101000000")), _double_bytes(lon), _double_bytes(lat))
 
 
+def _double_of(hexa: Column) -> Column:
+    """The double of 16 hexadecimal digits, big-endian: sign and exponent, then 52 bits of mantissa."""
+    head = F.conv(F.substring(hexa, 1, 3), 16, 10).cast("int")
+    mantissa, exponent = F.conv(F.substring(hexa, 4, 13), 16, 10).cast("double"), head % 2048
+    size = F.when(exponent == 0, F.lit(0.0)).otherwise((mantissa / float(1 << 52) + 1.0) * F.pow(F.lit(2.0), exponent - 1023))
+    return F.when(head >= 2048, -size).otherwise(size)
+
+
+def wkb_xy(wkb: Column) -> Column:
+    """struct<x, y> of a little-endian point; null for anything else."""
+    h = F.hex(wkb)
+    number = lambda start: _double_of(F.concat(*[F.substring(h, start + 14 - 2 * k, 2) for k in range(8)]))
+    return F.when(h.startswith("0101000000") & (F.length(h) == 42), F.struct(number(11).alias("x"), number(27).alias("y")))
+
+
 def wkt_point(lon: Column, lat: Column) -> Column:
     return F.format_string("POINT (%s %s)", lon, lat)
 

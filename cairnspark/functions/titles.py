@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Address heads of articles and images.
+# Address heads of articles and images, and the two forms of a reference to an article.
 ARTICLE_BASE = "https://en.wikipedia.org/wiki/"
 IMAGE_BASE = "https://commons.wikimedia.org/wiki/Special:FilePath/"
+ADDRESS_FORM = r"^<https://([a-z\-]+)\.wikipedia\.org/wiki/(.+)>$"
+LITERAL_FORM = r'^"?([a-z\-]{2,12}):(.+?)"?(?:\^\^<[^>]*>)?$'
 
 
 def label_of(title: Column) -> Column:
@@ -36,8 +38,7 @@ def wiki_reference(value: Column) -> Column:
     quoted and with a data type.  Spaces become underscores and the first
     character upper case.  A plus sign stays a plus sign.
     """
-    address = r"^<https://([a-z\-]+)\.wikipedia\.org/wiki/(.+)>$"
-    literal = r'^"?([a-z\-]{2,12}):(.+?)"?(?:\^\^<[^>]*>)?$'
+    address, literal = ADDRESS_FORM, LITERAL_FORM
     is_address = value.rlike(address)
     decoded = F.try_url_decode(F.replace(F.regexp_extract(value, address, 2), F.lit("+"), F.lit("%2B")))
     lang = F.when(is_address, F.regexp_extract(value, address, 1)).otherwise(F.regexp_extract(value, literal, 1))

@@ -26,6 +26,7 @@ class Bounds:
 
 
 TIERS = (50, 500, 2000, 5000)
+WELL_KNOWN = ("Eiffel Tower", "Statue of Liberty", "Great Wall of China", "Machu Picchu", "Taj Mahal", "Colosseum", "Sydney Opera House")
 RAW_IDENTIFIER = r"^Q[0-9]+\z"
 
 
@@ -88,8 +89,10 @@ def run_checks(articles: DataFrame, bounds: Bounds | None = None) -> DataFrame:
     return articles.agg(pairs.alias("c")).select(F.explode("c").alias("c")).select("c.name", "c.passed")
 
 
-def missing_labels(articles: DataFrame, expected: DataFrame) -> DataFrame:
-    """Labels of ``expected`` that no article has."""
+def missing_labels(articles: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Labels of ``expected`` (the well-known ones) that no article has."""
+    if expected is None:
+        expected = articles.sparkSession.createDataFrame([(x,) for x in WELL_KNOWN], "label string")
     return expected.join(articles.select("label").distinct(), "label", "left_anti")
 
 

@@ -45,7 +45,11 @@ def extent_coverage(articles: DataFrame, features: DataFrame, views: DataFrame,
     return {"overall": overall, "natural": top, "summary": summary}
 
 
-def view_coverage(articles: DataFrame, views: DataFrame, labels: list[str]) -> dict[str, DataFrame]:
+# Pages whose views a build is looked at by.
+NAMED_PAGES = ("Mount Rushmore", "Coon Rapids Dam", "Black Hills", "Mount Rainier", "Minneapolis", "Glen Canyon Dam", "Bear Butte", "Medicine Rocks State Park")
+
+
+def view_coverage(articles: DataFrame, views: DataFrame, labels: tuple[str, ...] | list[str] = NAMED_PAGES) -> dict[str, DataFrame]:
     """``overall`` (n, with_views) and the medians of named pages."""
     pages = articles.select("page_id", title_of(F.col("label")).alias("title"), "label")
     median = median_views(views, pages)

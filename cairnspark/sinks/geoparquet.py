@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ..operators.assemble import spatially_sorted
+from ..shipping import ship
 
 ROW_GROUP = 25_000
 
@@ -28,17 +29,19 @@ def geo_metadata(box: tuple[float, float, float, float] | None = None) -> dict:
     return {"version": "1.1.0", "primary_column": "geometry", "columns": {"geometry": column}}
 
 
-def write_geoparquet(articles: DataFrame, path: str, metadata: dict[str, str] | None = None, row_group: int = ROW_GROUP, parts: int | None = None) -> DataFrame:
-    """Write the articles below ``path``; returns file, n (rows), xmin, ymin, xmax, ymax of the files.
+def write_files(df: DataFrame, path: str, metadata: dict[str, str], row_group: int = ROW_GROUP, box: str | None = None) -> DataFrame:
+    """Write a file per partition below ``path``, with ``metadata`` in its footer and row groups of ``row_group`` rows; returns file, n (rows), xmin, ymin, xmax, ymax.
 
-    Each task writes one file under a name of its own attempt and moves it to
-    its final name when it is whole: a lost or repeated task leaves no half a
-    file and no second copy.  Memory is one row group a task.
+    With ``box``, a struct column of corners, the footer also has the ``geo``
+    metadata of the file's own extent.  Each task writes under a name of its
+    own attempt and moves the file to its final name when it is whole: a lost
+    or repeated task leaves no half a file and no second copy.  Memory is one
+    row group a task.
     """
-    dealt = spatially_sorted(articles, parts)
+    ship(df.sparkSession)
     uri = path if "://" in path else f"file://{path}"
-    extra = dict(metadata or {})
     run = uuid.uuid4().hex[:8]
+    corners = (("xmin", min), ("ymin", min), ("xmax", max), ("ymax", max))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(uri)
@@ -46,7 +49,7 @@ def write_geoparquet(articles: DataFrame, path: str, metadata: dict[str, str] |
         task = TaskContext.get()
         name = f"part-{task.partitionId():05d}-{run}.parquet"
         draft = f"{root}/_{name}.{task.taskAttemptId()}"
-        writer, n, box, held = None, 0, [181.0, 91.0, -181.0, -91.0], []
+        writer, n, extent, held = None, 0, [None] * 4, []
 
         def flush() -> None:
             nonlocal held
@@ -59,9 +62,10 @@ def write_geoparquet(articles: DataFrame, path: str, metadata: dict[str, str] |
                 continue
             if writer is None:
                 writer = pq.ParquetWriter(fs.open_output_stream(draft, compression=None), b.schema.with_metadata({}), compression="zstd")
-            corner = b.column(b.schema.names.index("bbox"))
-            for k, (f, pick) in enumerate((("xmin", min), ("ymin", min), ("xmax", max), ("ymax", max))):
-                box[k] = pick(box[k], pick(corner.field(f).to_pylist()))
+            if box:
+                for k, (f, pick) in enumerate(corners):
+                    seen = [v for v in (extent[k], *b.column(b.schema.names.index(box)).field(f).to_pylist()) if v is not None]
+                    extent[k] = pick(seen) if seen else None
             n += b.num_rows
             at = 0
             while at < b.num_rows:  # row groups are filled to the row
@@ -73,13 +77,29 @@ def write_geoparquet(articles: DataFrame, path: str, metadata: dict[str, str] |
         if writer is None:
             return
         flush()
-        writer.add_key_value_metadata(extra | {"geo": json.dumps(geo_metadata(tuple(box)))})
+        geo = {"geo": json.dumps(geo_metadata(None if None in extent else tuple(extent)))} if box else {}
+        writer.add_key_value_metadata(metadata | geo)
         writer.close()
         fs.move(draft, f"{root}/{name}")
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n]), *[pa.array([v]) for v in box]], ["file", "n", "xmin", "ymin", "xmax", "ymax"])
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n]), *[pa.array([v], pa.float64()) for v in extent]], ["file", "n", *(f for f, _ in corners)])
+
+    kind = "file string, n long, xmin double, ymin double, xmax double, ymax double"
+    return df.sparkSession.createDataFrame(df.mapInArrow(write, kind).collect(), kind)  # one row per file
+
+
+def write_geoparquet(articles: DataFrame, path: str, metadata: dict[str, str] | None = None, row_group: int = ROW_GROUP, parts: int | None = None) -> DataFrame:
+    """The article table, sorted along the Hilbert curve; see ``write_files``."""
+    return write_files(spatially_sorted(articles, parts), path, dict(metadata or {}), row_group, "bbox")
+
+
+def build_metadata(months: list[str], wanted: int, extract: str | None) -> dict[str, str]:
+    """What a build records of its caches: the months joined, how many were wanted, the feature extract."""
+    return {"pageviews_months": ",".join(months), "pageviews_months_wanted": str(wanted), "osm_extent_extract": extract or ""}
+
 
-    rows = dealt.mapInArrow(write, "file string, n long, xmin double, ymin double, xmax double, ymax double").collect()  # one row per file
-    return articles.sparkSession.createDataFrame(rows, "file string, n long, xmin double, ymin double, xmax double, ymax double")
+def write_extract(df: DataFrame, path: str, metadata: dict[str, str], order: list[str] | None = None) -> DataFrame:
+    """A cache with its origin in the footers (``source``, ``month``, ``complete``, ...): a month of traffic or the feature extract, sorted if told so."""
+    return write_files(df.orderBy(*order) if order else df, path, metadata)
 
 
 def add_metadata(path: str, metadata: dict[str, str]) -> None:

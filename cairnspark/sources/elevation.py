@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import dem_tile, off_the_edge
+from ..shipping import ship
 
 Sampler = Callable[[str, list[tuple[float, float]]], list[float]]
 
@@ -21,6 +22,7 @@ def sample_elevations(points: DataFrame, sampler: Sampler, key: str = "page_id")
     batches, never gathered.  What a sampler cannot give is 0; values are cut
     off to whole metres.
     """
+    ship(points.sparkSession)
     rows = points.select(key, dem_tile(F.col("lat"), F.col("lon")).alias("tile"), off_the_edge(F.col("lat")).alias("lat"), off_the_edge(F.col("lon")).alias("lon"))
     kind = rows.schema[key].dataType.simpleString()
 

@@ -39,3 +39,9 @@ def is_complete(path: str) -> bool:
     except (OSError, ValueError):
         return False
     return flag is None or flag.decode().lower() != "false"
+
+
+def recorded_months(path: str) -> list[str]:
+    """The months whose views a file's build has joined."""
+    said = (_open(path).metadata.metadata or {}).get(b"pageviews_months", b"").decode()
+    return [m for m in said.split(",") if m]

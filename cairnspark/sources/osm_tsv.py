@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.titles import wiki_reference
 
+# The form of a feature's address, the first name of the header.
 FEATURE_FORM = r"^<https://www\.openstreetmap\.org/(way|relation)/(\d+)>"
 HEADER = "?x"
 

@@ -54,6 +54,9 @@ def test_well_known_binary(spark):
     for v, b in zip(values, got, strict=True):
         order, kind, x, y = struct.unpack("<bIdd", bytes(b))
         assert (order, kind, x, y) == (1, 1, v, -v)
+    back = column(spark, values, "double", lambda v: geo.wkb_xy(geo.wkb_point(v, -v)))
+    assert [tuple(p) for p in back] == [(v, -v) for v in values]
+    assert column(spark, [b"", b"\x01\x02\x00\x00\x00", None], "binary", geo.wkb_xy) == [None, None, None]
 
 
 def test_dem_tile(spark):

@@ -9,7 +9,7 @@ from cairnspark.operators import assemble, entities, extents, inlinks, pages, vi
 from cairnspark.plans import build, checks, reports, serve
 from cairnspark.schemas import ARTICLE
 from cairnspark.sinks import files, geoparquet
-from cairnspark.sources import insert_dump, links, osm_tsv, pageviews, triples
+from cairnspark.sources import footers, insert_dump, links, osm_tsv, pageviews, triples
 from cairnspark.streaming import monthly
 
 W = "http://www.wikidata.org"
@@ -123,6 +123,8 @@ def test_build_end_to_end(spark, tmp_path):
     assert not result["Mount Rushmore: pageviews_month within 10000 to 1e+06"] and result["Lake Superior: extent_km within 500 to 700"]
     assert "enough articles have views" not in {r["name"] for r in checks.run_checks(out.drop("pageviews_month")).collect()}
 
+    assert checks.missing_labels(out).count() == len(checks.WELL_KNOWN)
+
     parts = reports.extent_coverage(out, inputs.features, inputs.views, 10)
     assert tuple(parts["overall"].first()) == (2, 1) and tuple(parts["summary"].first()) == (1, 1, 1)
     seen = reports.view_coverage(out, inputs.views, ["Lake O'X", "Plain"])
@@ -156,6 +158,15 @@ def test_geoparquet(spark, tmp_path):
     assert again.metadata.metadata[b"extra"] == b"1" and b"geo" in again.metadata.metadata and again.metadata.row_group(0).num_rows == 40
 
 
+def test_extract_with_metadata(spark, tmp_path):
+    rows = spark.createDataFrame([("2026-01", None, "b", 1), ("2026-01", 7, None, 2), ("2026-01", 3, None, 2)], "month string, page_id int, title string, views long")
+    made = geoparquet.write_extract(rows.coalesce(1), str(tmp_path / "m"), {"source": "x", "complete": "true"}, ["month"]).collect()
+    path = str(tmp_path / "m" / made[0]["file"])
+    assert sum(r["n"] for r in made) == 3 and footers.is_complete(path) and pq.ParquetFile(path).metadata.metadata[b"source"] == b"x"
+    geoparquet.add_metadata(path, geoparquet.build_metadata(["2025-12", "2026-01"], 12, None))
+    assert footers.recorded_months(path) == ["2025-12", "2026-01"]
+
+
 def test_box_reaches_the_scan(spark, tmp_path):
     geoparquet.write_geoparquet(assemble.assemble(points(spark)), str(tmp_path / "a"), parts=2)
     plan = serve.in_box(spark.read.parquet(str(tmp_path / "a")), 0, 0, 10, 10)._jdf.queryExecution().toString()
