@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: White space of every contract here: space and U+0009 to U+000D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -55,18 +55,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow``, with this package at hand on the executors however the session was started."""
-    context = df.sparkSession.sparkContext
-    if not getattr(context, "_cairnspark_shipped", False):
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        folder = tempfile.mkdtemp(prefix="cairnspark-code-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        with zipfile.ZipFile(f"{folder}/cairnspark.zip", "w") as z:
-            for top, _, names in os.walk(package):
-                for name in (n for n in names if n.endswith(".py")):
-                    z.write(os.path.join(top, name), os.path.relpath(os.path.join(top, name), os.path.dirname(package)))
-        context.addPyFile(f"{folder}/cairnspark.zip")
-        context._cairnspark_shipped = True
+    """``mapInArrow``, with this package at hand on the executors."""
+    ship(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
