@@ -18,6 +18,7 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 _own_base: str | None = None
+_made: list[str] = []
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -38,7 +39,20 @@ def shared_base(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing else ever writes there."""
-    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(f"{shared_base(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch tables that this process has made, through Spark's own file systems; returns how many.
+
+    Results that were not written yet still read them: call it when they are.
+    """
+    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
