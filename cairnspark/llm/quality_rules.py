@@ -8,7 +8,9 @@ that follows works on the profile, which holds no text:
   it; copies of one text (same host, same normalised text) are one document,
   so that a much-copied document is not taken for boilerplate;
 * a line is above the limit if more than ``max(min_docs, max_share x documents
-  of the host)`` documents have it; such lines are removed;
+  of the host)`` documents have it; such lines are removed
+  (``filter_quality`` gives the texts without them, ``quality_verdicts`` counts
+  their words);
 * a document is depleted, and rejected, if removing lines leaves fewer than
   ``min_words`` words and takes at least ``depleted_share`` of its words.
 
@@ -69,27 +71,29 @@ def _repeat_words(df: DataFrame, words: str, n_words: str) -> DataFrame:
 
 
 def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per input row: tag, id, host, digest, counts of the base rules, normalised lines."""
+    """One row per input row: tag, id, host, digest, raw (hash of the text as it is), counts of the base rules, normalised lines with their places."""
     text = F.coalesce(quoted(text_col), F.lit(""))
     df = docs.select(quoted(id_col).alias("id"), quoted(host_col).alias("host"), text.alias("text"))
     bare = _without_space(F.col("text"))
     df = df.select(
-        "id", "host", F.xxhash64(normalised(F.col("text"))).alias("digest"), "text",
+        "id", "host", F.xxhash64(normalised(F.col("text"))).alias("digest"), F.xxhash64("text").alias("raw"), "text",
         F.length(bare).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         words_of(F.col("text")).alias("words"),
-        F.filter(F.split("text", "\n", -1), lambda x: _without_space(x) != "").alias("raw_lines"),
+        F.split("text", "\n", -1).alias("all_lines"),
     )
+    places = F.filter(F.transform(F.col("all_lines"), lambda x, i: F.when(_without_space(x) != "", i)), lambda i: i.isNotNull())
+    df = df.withColumns({"raw_lines": F.filter("all_lines", lambda x: _without_space(x) != ""), "places": places}).drop("all_lines")
     df = df.withColumn("n_words", F.size("words").cast("long"))
     df = _repeat_words(df, "words", "n_words")
     tidy = F.transform(F.col("raw_lines"), lambda x: F.lower(F.trim(F.regexp_replace(x, SPACE_CLASS + "+", " "))))
     df = df.select(
-        "id", "host", "digest", "word_chars", "n_symbols", "n_words", "n_repeat_words",
+        "id", "host", "digest", "raw", "word_chars", "n_symbols", "n_words", "n_repeat_words", "places",
         (F.size("raw_lines") - F.size(F.array_distinct("raw_lines"))).cast("long").alias("n_dup_lines"), tidy.alias("tidy"),
     )
     # a normalised line has one space between words: words = spaces + 1
-    lines = F.sort_array(F.transform(F.col("tidy"), lambda x: F.struct(F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).cast("long").alias("words"))))
-    df = df.withColumn("lines", lines).drop("tidy")
+    lines = F.sort_array(F.transform(F.col("tidy"), lambda x, k: F.struct(F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).cast("long").alias("words"), F.get("places", k).alias("place"))))
+    df = df.withColumn("lines", lines).drop("tidy", "places")
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return df.select(F.monotonically_increasing_id().alias("tag"), "*", base_failed.alias("base_failed"))
 
@@ -107,28 +111,47 @@ def quality_verdicts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, depleted_share: float = DEPLETED_SHARE,
 ) -> DataFrame:
-    """The profile of each row with removed_words and kept."""
+    """The profile of each row with removed_words, removed_lines (their places in the text split at line ends; null if none) and kept."""
     profiles = staged(profile(docs, id_col, text_col, host_col), "quality-profile")
-    lines = profiles.select("tag", "host", "digest", F.explode("lines").alias("l")).select("tag", "host", "digest", "l.line", "l.words")
+    lines = profiles.select("tag", "host", "digest", F.explode("lines").alias("l")).select("tag", "host", "digest", "l.line", "l.words", "l.place")
     frequent = staged(frequent_lines(lines, profiles, min_docs, max_share), "quality-frequent")
     hits = lines.alias("a").join(frequent.alias("f"), F.col("a.host").eqNullSafe(F.col("f.host")) & (F.col("a.line") == F.col("f.line")))
-    removed = hits.groupBy("a.tag").agg(F.sum("a.words").alias("removed_words"))
+    removed = hits.groupBy("a.tag").agg(F.sum("a.words").alias("removed_words"), F.sort_array(F.collect_list("a.place")).alias("removed_lines"))
     df = profiles.drop("lines").join(removed, "tag", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
     depleted = (F.col("n_words") - F.col("removed_words") < MIN_WORDS) & (F.col("removed_words") >= depleted_share * F.col("n_words"))
     return df.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
-def filter_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
-    """The rows that pass, with the input's columns.
+def without_lines(text: Column, places: Column) -> Column:
+    """The text without the lines at ``places`` (ascending, from 0), each with one line end; what lies between two of them is taken whole."""
+    all_lines = F.split(text, "\n", -1)
+    edges = F.concat(F.array(F.lit(-1)), places, F.array(F.size(all_lines)))
+    between = F.transform(places, lambda p, k: F.slice(all_lines, F.get(edges, k) + 2, p - F.get(edges, k) - 1))
+    last = F.element_at(places, -1)
+    return F.array_join(F.concat(F.flatten(between), F.slice(all_lines, last + 2, F.size(all_lines) - last - 1)), "\n")
 
-    A verdict follows from host and text alone, so the rejected are known by
-    (host, digest): rows of equal text and host share one verdict.
+
+def filter_quality(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", chars_col: str | None = "n_chars", **limits,
+) -> DataFrame:
+    """The rows that pass, without the lines above the limit; the input's columns.
+
+    Of a text that loses lines, ``chars_col`` (if there is one) is counted
+    anew; other rows stay as they are.  A verdict and the places of its lines
+    follow from host and text alone, so they are known by (host, hash of the
+    text as it is): rows of equal text and host share one.
     """
-    rejected = quality_verdicts(docs, id_col, text_col, host_col, **limits).where(~F.col("kept")).select("host", "digest").distinct()
-    host, digest = fresh("qr_host", docs.columns), fresh("qr_digest", docs.columns)
-    rejected = staged(rejected, "quality-rejected").select(F.col("host").alias(host), F.col("digest").alias(digest))
-    mine = F.xxhash64(normalised(quoted(text_col)))
-    return docs.join(rejected, (quoted(host_col).eqNullSafe(F.col(host))) & (mine == F.col(digest)), "left_anti")
+    host, raw, kept, gone = own = [fresh(f"qr_{k}", docs.columns) for k in ("host", "raw", "kept", "gone")]
+    marked = quality_verdicts(docs, id_col, text_col, host_col, **limits).where(~F.col("kept") | F.col("removed_lines").isNotNull())
+    marks = marked.groupBy("host", "raw").agg(F.first(F.struct("kept", F.when(F.col("kept"), F.col("removed_lines")).alias("gone"))).alias("m"))
+    marks = staged(marks.select("host", "raw", "m.kept", "m.gone"), "quality-marks").toDF(*own)
+    mine = F.xxhash64(F.coalesce(quoted(text_col), F.lit("")))
+    rows = docs.join(marks, quoted(host_col).eqNullSafe(F.col(host)) & (mine == F.col(raw)), "left").where(F.coalesce(F.col(kept), F.lit(True)))
+    loses = F.col(gone).isNotNull()
+    rows = rows.withColumn(text_col, F.when(loses, without_lines(quoted(text_col), F.col(gone))).otherwise(quoted(text_col)))
+    if chars_col in docs.columns:
+        rows = rows.withColumn(chars_col, F.when(loses, F.length(quoted(text_col)).cast(docs.schema[chars_col].dataType)).otherwise(quoted(chars_col)))
+    return rows.select([quoted(c) for c in docs.columns])
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,3 +74,31 @@ def test_filter(odd):
     keep = sorted(str(r[0]) for r in brute(rows(odd), Q.MIN_DOCS, Q.MAX_SHARE) if r[7])
     assert out.columns == odd.columns and sorted(str(r["doc_id"]) for r in out.collect()) == keep
     assert Q.filter_quality(odd.limit(0)).count() == 0 and Q.quality_verdicts(odd.limit(0)).count() == 0
+
+
+def without(text, host, docs, min_docs, share):
+    """The text less its lines above the limit, by brute force; docs: rows of (id, text, host)."""
+    tidy = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x).strip(" ").lower()
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    mine = {norm(t): t for _, t, h in docs if h == host}
+    many = Counter((norm(t), tidy(x)) for _, t, h in docs if h == host for x in set((t or "").split("\n")) if WORD.search(x))
+    docs_of = Counter(x for _, x in many)
+    return "\n".join(x for x in text.split("\n") if not WORD.search(x) or docs_of[tidy(x)] <= max(min_docs, share * len(mine)))
+
+
+def test_lines_above_the_limit_leave_the_text(spark, documents):
+    menu = ["Home  about contact imprint", "all rights reserved by the owner\r"]
+    own = [[f"word{i}x{k}" for k in range(20)] for i in range(60)]
+    texts = ["\n".join([menu[i % 2], " ".join(w[:12]), "", menu[1 - i % 2], menu[0].upper(), " ".join(w[12:])]) for i, w in enumerate(own)]
+    made = [(i, t, "h", len(t), "x") for i, t in enumerate(texts)] + [(100, texts[0], "other", 7, "y"), (101, "\n".join(map(" ".join, own[:3])), "h", -1, "z")]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string, n_chars long, qr_gone string")
+    want = [(i, "\n".join([" ".join(w[:12]), "", " ".join(w[12:])]), "h", "x") for i, w in enumerate(own)]
+    want = [(i, t, h, len(t), x) for i, t, h, x in want] + made[-2:]  # what loses nothing stays as it is
+    out = Q.filter_quality(docs)
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == want
+    for n, share in ((1, 0.0), (2, 0.05)):
+        all_rows = rows(documents)
+        got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in Q.filter_quality(documents, min_docs=n, max_share=share).collect()}
+        keep = {r[0] for r in brute(all_rows, n, share) if r[7]}
+        left = {i: without(t, h, all_rows, n, share) for i, t, h in all_rows if i in keep}
+        assert got == {i: (t, len(t)) for i, t in left.items()} and any(left[i] != t for i, t, _ in all_rows if i in keep)
