@@ -16,9 +16,12 @@ beyond the guarantee, pairs between the two are found with high probability.
 *Buckets.*  Only distinct fingerprints are indexed: copies meet no more.
 Buckets are read as a sorted stream.  In a bucket of up to ``bucket_cap``
 fingerprints all are compared, and a spanning forest of the links goes out,
-not the pairs.  The fingerprints of larger buckets go on to a second
-signature: the bucket's own and, of each other segment, the variants less so
-many bits that the guarantee stays (``_second_signatures``).
+not the pairs.  Larger buckets lose no pair either.  Where ``max_bits`` is
+within the guarantee, their fingerprints go on to a second signature: the
+bucket's own and, of each other segment, the variants less so many bits that
+the guarantee stays (``_second_signatures``).  Where it is beyond, no second
+signature is sure to keep the pairs: the bucket is cut into blocks, and every
+block is compared with every other (``_block_pairs``).
 
 *Components.*  Alternating large-star and small-star steps on the links between
 fingerprints, each step a join written to the shared folder.
@@ -225,6 +228,19 @@ def _second_signatures(over: DataFrame, names: list[str], segments: list[tuple[i
     return map_arrow(over, expand, "key long, " + ", ".join(f"{x} long" for x in names))
 
 
+def _block_pairs(over: DataFrame, names: list[str], bucket_cap: int) -> DataFrame:
+    """slot, rest, i, j, f0, ...: the fingerprints of buckets over the cap, once for each pair of blocks i < j that their block is in.
+
+    A bucket has as many blocks of about ``bucket_cap`` as it takes, two at
+    least, so that any two of its fingerprints meet under some pair.
+    """
+    sizes = staged(over.groupBy("slot", "rest").agg(F.ceil(F.count(F.lit(1)) / bucket_cap).cast("int").alias("blocks")), "simhash-blocks").withColumn("blocks", F.greatest("blocks", F.lit(2)))
+    dealt = over.join(sizes, ["slot", "rest"]).withColumn("mine", F.pmod(F.xxhash64(*names), "blocks").cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("mine"))
+    met = dealt.withColumn("other", F.explode(others))
+    return met.select("slot", "rest", F.least("mine", "other").cast("long").alias("i"), F.greatest("mine", "other").cast("long").alias("j"), *names)
+
+
 def links(distinct: DataFrame, names: list[str], max_bits: int = 2, n_segments: int | None = None, bucket_cap: int = BUCKET_CAP) -> DataFrame:
     """a0.., b0..: enough links between distinct fingerprints (columns ``names``) to connect what is within ``max_bits`` and meets."""
     if n_segments is None:  # two at least: a bucket that is too large is parted by another segment
@@ -248,11 +264,14 @@ def links(distinct: DataFrame, names: list[str], max_bits: int = 2, n_segments:
             if len(out):
                 yield batch(out, ["slot", "rest", *ends])
 
-    def compare_second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _ in _runs(batches, 1, 1 << 62):
-            found = _linked(rows, 1, max_bits)
-            if len(found):
-                yield batch(found, ends)
+    def compare_all(n_keys: int):
+        def compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, _ in _runs(batches, n_keys, 1 << 62):
+                found = _linked(rows, n_keys, max_bits)
+                if len(found):
+                    yield batch(found, ends)
+
+        return compare_runs
 
     longs = ", ".join(f"{x} long" for x in ends)
     met = _signatures(distinct, names, segments).repartition("slot", "rest").sortWithinPartitions("slot", "rest")
@@ -260,8 +279,12 @@ def links(distinct: DataFrame, names: list[str], max_bits: int = 2, n_segments:
     direct = found.where("slot < 0").select(*ends)
     over = found.where("slot >= 0").select("slot", "rest", *[F.col(f"a{k}").alias(n) for k, n in enumerate(names)])
     if not over.isEmpty():
-        second = _second_signatures(over, names, segments, guarantee).repartition("key").sortWithinPartitions("key")
-        direct = direct.unionByName(map_arrow(second, compare_second, longs))
+        if max_bits > guarantee:
+            keys, second = ["slot", "rest", "i", "j"], _block_pairs(over, names, bucket_cap)
+        else:
+            keys, second = ["key"], _second_signatures(over, names, segments, guarantee)
+        second = second.repartition(*keys).sortWithinPartitions(*keys)
+        direct = direct.unionByName(map_arrow(second, compare_all(len(keys)), longs))
     return direct.distinct()
 
 

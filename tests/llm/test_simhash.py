@@ -72,6 +72,27 @@ def test_planted_fingerprints(spark):
             assert groups(u.tolist(), got) == want
 
 
+def test_buckets_over_the_cap_lose_no_pair(spark):
+    """Links beyond the guarantee do not hang on how full a bucket is: pairs at 18 to 38 bits that share a segment, and a hot template around them."""
+    rng = np.random.default_rng(11)
+    names, turned = ["f0", "f1", "f2"], lambda fp, bits: [int(x) ^ sum(1 << int(b % 64) for b in bits if b // 64 == w) for w, x in enumerate(fp)]
+    free = np.setdiff1d(np.arange(192), np.arange(21))  # the first segment stays, so that all of a family meet in its buckets
+    fps = []
+    for _ in range(3):
+        first = int(rng.integers(0, 1 << 21))
+        for _ in range(25):
+            base = rng.integers(0, 1 << 64, 3, dtype=np.uint64).tolist()
+            base[0] = (base[0] & ~((1 << 21) - 1)) | first
+            fps += [base, turned(base, rng.choice(free, rng.integers(18, 39), replace=False))]
+    rows_ = sorted({tuple(int(np.uint64(x).view(np.int64)) for x in f) for f in fps})
+    distinct = spark.createDataFrame(rows_, "f0 long, f1 long, f2 long")
+    found_ = lambda cap: groups(rows_, {(tuple(r)[:3], tuple(r)[3:]) for r in S.links(distinct, names, 38, 9, cap).collect()})
+    whole = found_(1 << 20)
+    assert len(whole) == 75  # every planted pair, and nothing more
+    for cap in (1, 3, 30):
+        assert found_(cap) == whole
+
+
 def groups(nodes, pairs):
     parent = {n: n for n in nodes}
 
