@@ -102,3 +102,13 @@ def test_lines_above_the_limit_leave_the_text(spark, documents):
         keep = {r[0] for r in brute(all_rows, n, share) if r[7]}
         left = {i: without(t, h, all_rows, n, share) for i, t, h in all_rows if i in keep}
         assert got == {i: (t, len(t)) for i, t in left.items()} and any(left[i] != t for i, t, _ in all_rows if i in keep)
+
+
+def test_line_breaks_tell_texts_of_the_same_words_apart(spark):
+    lines = ["home about contact imprint privacy terms", "all rights reserved by the owner here"]
+    made = [(i, "\n".join([*lines, " ".join(f"w{i}x{k}" for k in range(20))]), "h") for i in range(40)]
+    made += [(100, "\n".join(lines), "h"), (101, " ".join(lines), "h")]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string")
+    keep = sorted(r[0] for r in brute(made, Q.MIN_DOCS, Q.MAX_SHARE) if r[7])
+    assert 100 not in keep and 101 in keep
+    assert sorted(r["doc_id"] for r in Q.filter_quality(docs).collect()) == keep
