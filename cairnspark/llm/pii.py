@@ -46,7 +46,7 @@ DIGITS = re.compile(r"[0-9]+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 DIALLED = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]{1,64}:[^\s:@/?#]{1,128}@[A-Za-z0-9.-]{1,255}")
+LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]++:[^\s:@/?#]++@[A-Za-z0-9.-]++")
 BEHIND_CUE = re.compile(r"(?:[ \t]?(?:no|nr|number|nummer|num|id|numéro|número)\b\.?)?[ \t]?[:#=]?[ \t]?(?=[A-Za-z0-9])", re.IGNORECASE)
 IDENTIFIER = re.compile(r"[A-Z]{0,4}[0-9](?:[ -]?[A-Z0-9]){5,33}(?![A-Za-z0-9])")
 

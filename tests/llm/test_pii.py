@@ -57,6 +57,12 @@ def test_extra_kinds():
     assert kinds("see https://joe:pw1@host.example/x") == [("login", "joe:pw1@host.example")]
 
 
+def test_logins_of_any_length():
+    for user, password, host in (("joe", "t" * 150, "host.example"), ("u" * 65, "p", "h" * 300), ("u" * 100_000, "p" * 100_000, "host")):
+        text = f"see https://{user}:{password}@{host}/x"
+        assert [text[a:z] for k, a, z in pii.Finder().find(text) if k == "login"] == [f"{user}:{password}@{host}"]
+
+
 def test_table_with_nulls_and_clashing_names(spark):
     rows = [(1, "mail a@b.de", "x", None), (None, None, None, "p"), (1, "mail a@b.de", "x", None), (2, "", "y", "q")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, pii string, n_email string")
