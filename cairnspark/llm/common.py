@@ -24,12 +24,14 @@ _made: list[str] = []
 def shared_base(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, local mode) a folder of this process is
-    made and recorded in the session, and removed when the process ends.
+    Only with a local master (tests) may it be unset; a folder of this process
+    is made then, and removed when the process ends.
     """
     global _own_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if _own_base is None:
             _own_base = tempfile.mkdtemp(prefix="cairnspark-")
             atexit.register(shutil.rmtree, _own_base, ignore_errors=True)
@@ -43,31 +45,79 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return _made[-1]
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete all scratch tables that this process has made, through Spark's own file systems; returns how many.
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through Spark's own file systems; whether it was there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch tables that this process has made (but for the first ``since``); returns how many.
 
     Results that were not written yet still read them: call it when they are.
     """
-    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), 0
-    while _made:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        n += bool(path.getFileSystem(conf).delete(path, True))
+    n = 0
+    while len(_made) > since:
+        n += delete_path(spark, _made.pop())
     return n
 
 
+def scratch_mark() -> int:
+    """For ``clear_scratch(since=...)``: how many scratch tables there are."""
+    return len(_made)
+
+
+#: A staged table is read instead of the shuffles that made it, so these need not stay on the executors' disks.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage and fixes the rows: what is nondeterministic in ``df``
     (row tags, partition numbers) is decided once, and a lost executor costs
-    a re-read, not a recomputation.
+    a re-read, not a recomputation.  Shuffle files go when the table is written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        # a new DataFrame over the same plan: the setting is read when it is planned
+        df.select("*").write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Plans that give the same rows from the same files on every run.
+_PLAIN = {"LogicalRelation", "SubqueryAlias", "Project", "Filter"}
+
+
+def _reads_files(docs: DataFrame) -> bool:
+    """Whether ``docs`` is nothing but deterministic columns and filters over Parquet files."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in _PLAIN and plan.deterministic():
+        if plan.children().isEmpty():
+            files = plan.relation()
+            return files.getClass().getSimpleName() == "HadoopFsRelation" and files.fileFormat().getClass().getSimpleName() == "ParquetFileFormat"
+        plan = plan.children().head()
+    return False
+
+
+def tagged(docs: DataFrame, tag: str) -> DataFrame:
+    """``docs`` and ``tag``, a struct that names each row for good: whoever reads the result again sees the same tags.
+
+    Rows of Parquet files are known by file and place there; of anything else,
+    a copy is staged once.
+    """
+    if _reads_files(docs):
+        at = docs.metadataColumn("_metadata")
+        return docs.select("*", F.struct(F.xxhash64(at["file_path"]).alias("file"), at["row_index"].alias("row")).alias(tag))
+    own = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))
+    return staged(docs.select("*", own.alias(tag)), "tagged")
+
+
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow``, with this package at hand on the executors."""
     ship(df.sparkSession)

@@ -1,17 +1,19 @@
 """Exact deduplication as a stateful stream over digests (DataFrame functions only).
 
-1. *Content table.*  The rows get a tag and a SHA-256 digest of their normalised
-   text and are written once to the shared folder.  The tag is the content
-   locator: it names one row of that table for good.
-2. *Keyed state.*  A Structured Streaming query reads the content table's files
+1. *Digests.*  Every row gets a content locator, which names the row and so its
+   text for good (file and place there), and the SHA-256 digest of its
+   normalised text.  Both are written to the shared folder; the texts are not.
+2. *Keyed state.*  A Structured Streaming query reads the digests' files
    (any number of triggers) and folds them into RocksDB state, keyed by digest
    and never expired: the smallest stable identifier, its content locator and
    the number of rows seen.  Map-side partial aggregation comes before the
    state's shuffle, so a text that fills a third of the corpus sends one row
    per task.
-3. *Bytes on hits.*  Rows that share a digest are compared on their whole texts
-   by a hash aggregation on (digest, text).  Where one digest covers several
-   texts, those rows leave the state's verdict and are resolved by their bytes.
+3. *Bytes on hits.*  Of digests seen more than once, and only of these, the
+   texts are fetched by their locators and compared whole: by a hash
+   aggregation on (digest, text), combined where the rows lie.  Where one
+   digest covers several texts, those rows leave the state's verdict and are
+   resolved by their bytes.
 
 Defined cases.  Null text counts as empty.  A null identifier loses to any
 other.  Rows that repeat an identifier and a text form one group in which
@@ -27,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, normalised, quoted, scratch_path, staged, table
+from .common import fresh, normalised, quoted, scratch_path, staged, table, tagged
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -41,18 +43,12 @@ ROCKSDB = {
 }
 
 
-def sha256_digest(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+#: What ``tagged`` names a row by.
+LOCATOR = "struct<file: bigint, row: bigint>"
 
 
-def _content(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> tuple[DataFrame, dict[str, str]]:
-    own = {k: fresh(k, docs.columns) for k in ("xd_tag", "xd_digest")}
-    rows = docs.select(
-        "*",
-        digest(normalised(quoted(text_col))).alias(own["xd_digest"]),
-        F.monotonically_increasing_id().alias(own["xd_tag"]),
-    )
-    return staged(rows, "dedup-content"), own
+def sha256_digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
 
 
 class DigestState:
@@ -90,13 +86,14 @@ class DigestState:
             for k, v in before.items():
                 conf.unset(k) if v is None else conf.set(k, v)
 
-    def absorb_files(self, content: DataFrame, paths: str, schema, id_col: str, own: dict[str, str]) -> None:
-        stream = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.max_files).parquet(paths)
-        self.absorb(stream.select(quoted(own["xd_digest"]).alias("digest"), quoted(id_col).alias("id"), quoted(own["xd_tag"]).alias("locator")))
+    def absorb_files(self, path: str, schema) -> None:
+        """Fold the Parquet files (tag, id, digest) below ``path`` into the state."""
+        stream = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.max_files).parquet(path)
+        self.absorb(stream.select("digest", "id", F.col("tag").alias("locator")))
 
     def table(self, id_type: str) -> DataFrame:
         """digest, first struct<no_id, id, locator>, seen: the state after the last trigger."""
-        schema = f"digest string, first struct<no_id: boolean, id: {id_type}, locator: bigint>, seen bigint, trigger int"
+        schema = f"digest string, first struct<no_id: boolean, id: {id_type}, locator: {LOCATOR}>, seen bigint, trigger int"
         updates = self.spark.read.schema(schema).parquet(f"{self.path}/updates")
         if len({f.split("trigger=")[1].split("/")[0] for f in updates.inputFiles() if "trigger=" in f}) <= 1:
             return updates.drop("trigger")
@@ -105,55 +102,59 @@ class DigestState:
         return last.select("digest", "s.first", "s.seen")
 
 
-def dedup_decisions(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    digest: Callable[[Column], Column] = sha256_digest, max_files_per_trigger: int = 100_000,
-) -> tuple[DataFrame, DataFrame, dict[str, str]]:
-    """(decisions, content, names).
-
-    decisions: tag, id, digest, keep_id, keep_tag, group_size, kept; one row
-    per input row.  content: the input rows with digest and tag.
-    """
-    spark = docs.sparkSession
-    content, own = _content(docs, id_col, text_col, digest)
-    path = content.inputFiles()
-    id_type = docs.select(quoted(id_col)).schema[0].dataType.simpleString()
-    mine = content.select(quoted(own["xd_tag"]).alias("tag"), quoted(id_col).alias("id"), quoted(own["xd_digest"]).alias("digest"))
+def _state(digests: DataFrame, id_type: str, max_files_per_trigger: int) -> DataFrame:
+    """digest, first, seen: the state after all of ``digests``, a staged table."""
+    spark = digests.sparkSession
+    files = digests.inputFiles()
+    if not files:  # no file, no row
+        return spark.createDataFrame([], f"digest string, first struct<no_id: boolean, id: {id_type}, locator: {LOCATOR}>, seen bigint")
     state = DigestState(spark, max_files_per_trigger=max_files_per_trigger)
-    if not path:  # no file, no row
-        none = spark.createDataFrame([], f"digest string, first struct<no_id: boolean, id: {id_type}, locator: bigint>, seen bigint")
-        states = none
-    else:
-        state.absorb_files(content, path[0].rsplit("/", 1)[0], content.schema, id_col, own)
-        states = state.table(id_type)
-
-    # Whole bytes: one row for each text under a digest, pre-aggregated where the rows lie.
-    texts = content.select(quoted(own["xd_digest"]).alias("digest"), normalised(quoted(text_col)).alias("norm")).groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"))
-    clashing = staged(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest"), "dedup-clash")
-
-    clean = mine.join(states, "digest").join(clashing, "digest", "left_anti").select("tag", "id", "digest", "first", F.col("seen").alias("group_size"))
-    decided = clean
+    state.absorb_files(files[0].rsplit("/", 1)[0], digests.schema)
+    return state.table(id_type)
+
+
+def _decided(
+    rows: DataFrame, tag: str, id_col: str, text_col: str,
+    digest: Callable[[Column], Column] = sha256_digest, max_files_per_trigger: int = 100_000,
+) -> DataFrame:
+    """tag, id, digest, keep_id, keep_tag, group_size, kept: one row for each of ``rows``, which carry their ``tag``."""
+    norm = normalised(quoted(text_col))
+    digests = staged(rows.select(quoted(tag).alias("tag"), quoted(id_col).alias("id"), digest(norm).alias("digest")), "dedup-digests")
+    states = _state(digests, digests.schema["id"].dataType.simpleString(), max_files_per_trigger)
+
+    # written, so that its size is known: where hits are few, no text is shuffled to find theirs
+    hits = staged(digests.join(states.where("seen > 1").select("digest"), "digest").select("tag", "digest"), "dedup-hits")
+    texts = rows.select(quoted(tag).alias("tag"), norm.alias("norm")).join(hits, "tag")
+    several = texts.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("texts"))
+    clashing = staged(several.where("texts > 1").select("digest"), "dedup-clash")
+
+    found = digests.join(states, "digest").select("tag", "id", "digest", "first", F.col("seen").alias("group_size"))
     if not clashing.isEmpty():
-        rows = content.select(quoted(own["xd_tag"]).alias("tag"), quoted(id_col).alias("id"), quoted(own["xd_digest"]).alias("digest"), normalised(quoted(text_col)).alias("norm"))
-        rows = rows.join(clashing, "digest", "left_semi")
-        by_text = rows.groupBy("digest", "norm").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", F.col("tag").alias("locator"))).alias("first"), F.count(F.lit(1)).alias("group_size"))
-        decided = clean.unionByName(rows.join(by_text, ["digest", "norm"]).select("tag", "id", "digest", "first", "group_size"))
-    decisions = decided.select(
+        unlike = texts.join(clashing, "digest").join(digests.select("tag", "id"), "tag")
+        by_text = unlike.groupBy("digest", "norm").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", F.col("tag").alias("locator"))).alias("first"), F.count(F.lit(1)).alias("group_size"))
+        found = found.join(clashing, "digest", "left_anti").unionByName(unlike.join(by_text, ["digest", "norm"]).select("tag", "id", "digest", "first", "group_size"))
+    return found.select(
         "tag", "id", "digest", F.col("first.id").alias("keep_id"), F.col("first.locator").alias("keep_tag"),
         "group_size", (F.col("tag") == F.col("first.locator")).alias("kept"),
     )
-    return decisions, content, own
+
+
+def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """tag, id, digest, keep_id, keep_tag, group_size, kept: one row per input row.  ``digest``: another digest of a text; ``max_files_per_trigger``: the stream's pace."""
+    tag = fresh("xd_tag", docs.columns)
+    return _decided(tagged(docs, tag), tag, id_col, text_col, **kw)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows that stay, with the input's columns."""
-    decisions, content, own = dedup_decisions(docs, id_col, text_col, **kw)
-    stay = decisions.where("kept").select(F.col("tag").alias(own["xd_tag"]))
-    return content.join(stay, own["xd_tag"], "left_semi").select([quoted(c) for c in docs.columns])
+    tag = fresh("xd_tag", docs.columns)
+    rows = tagged(docs, tag)
+    gone = _decided(rows, tag, id_col, text_col, **kw).where(~F.col("kept")).select(F.col("tag").alias(tag))
+    return rows.join(staged(gone, "dedup-gone"), tag, "left_anti").select([quoted(c) for c in docs.columns])
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decisions, _, _ = dedup_decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    decisions = dedup_decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return decisions.select(F.col("id").alias("doc_id"), "keep_id", F.col("group_size").cast("long"), "kept", F.col("digest").alias("text_sha256"))
 
 

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling (DataFrame functions only).
 
 Every document draws one exponential key, ``-ln(u) / w``: u comes from a hash of
-its identifier and the seed (reruns agree), w is its quality weight.  Within a
+its identifier, its text and the seed (reruns agree), w is its quality weight.  Within a
 source, documents in order of their keys are a weighted sample without
 replacement of every length, so the words before a document's place - a prefix
 sum - say whether it falls within the budget.
@@ -23,10 +23,11 @@ weight in ascending order, the capped sources are a prefix of that order, and
 the share of a unit of weight is (total - their caps) / (weight of the rest).
 
 Defined cases.  Null text has size 0, a source of size 0 target 0, a document
-of size 0 takes 0.  Null sources form one source.  Rows that repeat an
-identifier draw the same key and are ordered by size; equal rows may stand for
-each other.  An empty table gives an empty result.  Extra columns are never
-looked at.
+of size 0 takes 0.  Null sources form one source.  Rows that share an
+identifier, null or not, draw by their texts; rows that share both draw one key
+and are told apart by their places in the input, each taken or not for itself.
+An empty table gives an empty result.  Extra columns are never looked at and
+come through ``mixed_rows`` unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, quoted, staged, table, words_of
+from .common import fresh, quoted, staged, table, tagged, words_of
 
 WEIGHT_CYCLE = 3
 MAX_EPOCHS = 3
@@ -51,9 +52,10 @@ def quality_weight(text: Column) -> Column:
     return F.when(100 * marks <= 5 * n, F.lit(HIGH_WEIGHT)).when(100 * marks <= 15 * n, F.lit(MID_WEIGHT)).otherwise(F.lit(LOW_WEIGHT))
 
 
-def uniform(key: Column, seed: int) -> Column:
-    """A number in (0, 1) from the first 52 bits of MD5 of key and seed."""
-    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("")), F.lit(str(seed))).cast("binary")), 1, 13), 16, 10).cast("long")
+def uniform(key: Column, text: Column, seed: int) -> Column:
+    """A number in (0, 1) from the first 52 bits of MD5 of key, seed and text."""
+    of = F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("")), F.lit(str(seed)), F.coalesce(text, F.lit("")))
+    bits = F.conv(F.substring(F.md5(of.cast("binary")), 1, 13), 16, 10).cast("long")
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(2**52))
 
 
@@ -100,18 +102,16 @@ def source_targets(sizes: DataFrame, weight_cycle: int = WEIGHT_CYCLE, max_epoch
     return steps.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+def _mix(
+    rows: DataFrame, tag: str, id_col: str, text_col: str, source_col: str,
     weight: Column | None = None, seed: int = SEED, weight_cycle: int = WEIGHT_CYCLE, max_epochs: int = MAX_EPOCHS,
 ) -> DataFrame:
-    """One row per input row: id, source, size, source_size, target, taken, tag.  ``weight``: an expression over ``docs``; above 0."""
     size = F.coalesce(F.size(words_of(F.coalesce(quoted(text_col), F.lit("")))), F.lit(0)).cast("long")
-    key = -F.log(uniform(quoted(id_col), seed)) / (quality_weight(quoted(text_col)) if weight is None else weight)
-    rows = docs.select(F.monotonically_increasing_id().alias("tag"), quoted(id_col).alias("id"), quoted(source_col).alias("source"), size.alias("size"), key.alias("key"))
-    drawn = staged(rows, "mix-keys")
+    key = -F.log(uniform(quoted(id_col), quoted(text_col), seed)) / (quality_weight(quoted(text_col)) if weight is None else weight)
+    drawn = staged(rows.select(quoted(tag).alias("tag"), quoted(id_col).alias("id"), quoted(source_col).alias("source"), size.alias("size"), key.alias("key")), "mix-keys")
     sizes = drawn.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = staged(source_targets(sizes, weight_cycle, max_epochs), "mix-targets")
-    order = [F.col("key").asc(), F.col("id").asc_nulls_last(), F.col("size").asc()]
+    order = [F.col("key").asc(), F.col("id").asc_nulls_last(), F.col("size").asc(), F.col("tag").asc()]
     placed = prefix_sums(drawn, ["source"], order, "size", "before")
     out = placed.alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")))
     out = out.select("p.tag", "p.id", "p.source", "p.size", "p.before", "t.source_size", "t.target")
@@ -122,21 +122,20 @@ def mix(
     return out.select("tag", "id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
-    """The mix itself: every row as often as it is taken, with the input's columns.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
+    """One row per input row: tag, id, source, size, source_size, target, copies, taken.  ``weight``: an expression over ``docs``, above 0; ``seed``, ``weight_cycle``, ``max_epochs``."""
+    tag = fresh("mx_tag", docs.columns)
+    return _mix(tagged(docs, tag), tag, id_col, text_col, source_col, **kw)
 
-    Identifiers are needed to bring copies back to the rows.  Rows that repeat
-    one identifier are told apart by text; rows that repeat both are
-    interchangeable and take the largest of their counts.
-    """
-    own = {k: fresh(k, docs.columns) for k in ("mx_id", "mx_text", "mx_copies", "mx_no")}
-    tagged = docs.withColumn(own["mx_text"], F.xxhash64(quoted(text_col), quoted(source_col)))
-    plan = mix(tagged.withColumn(own["mx_id"], F.struct(quoted(id_col), quoted(own["mx_text"]))), own["mx_id"], text_col, source_col, **kw)
-    plan = plan.where("copies > 0").groupBy("id").agg(F.max("copies").alias("copies"))
-    plan = plan.select(F.col("id")[id_col].alias(own["mx_id"]), F.col("id")[own["mx_text"]].alias("mx_hash_of_plan"), F.col("copies").alias(own["mx_copies"]))
-    same = quoted(id_col).eqNullSafe(F.col(own["mx_id"])) & (quoted(own["mx_text"]) == F.col("mx_hash_of_plan"))
-    out = tagged.join(plan, same)
-    out = out.withColumn(own["mx_no"], F.explode(F.sequence(F.lit(1), F.col(own["mx_copies"]).cast("int"))))
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
+    """The mix itself: every row as often as it is taken, with the input's columns."""
+    tag, copies, no = (fresh(f"mx_{k}", docs.columns) for k in ("tag", "copies", "no"))
+    rows = tagged(docs, tag)
+    plan = _mix(rows, tag, id_col, text_col, source_col, **kw).where("copies > 0")
+    # written, so that its size is known: where it is small, no text is shuffled to meet it
+    plan = staged(plan.select("tag", F.col("copies").cast("int").alias("copies")), "mix-plan").toDF(tag, copies)
+    out = rows.join(plan, tag).withColumn(no, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return out.select([quoted(c) for c in docs.columns])
 
 
@@ -149,7 +148,7 @@ OP2_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, length(coalesce(text, '')) AS n,
          length(coalesce(text, '')) - length(translate(coalesce(text, ''), '{MARKS.replace("'", "''")}', '')) AS marks,
-         (('0x' || substr(md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), '{SEED}')), 1, 13))::BIGINT::DOUBLE + 0.5) / {float(2**52)} AS u
+         (('0x' || substr(md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), '{SEED}', coalesce(text, ''))), 1, 13))::BIGINT::DOUBLE + 0.5) / {float(2**52)} AS u
   FROM documents
 ), k AS (
   SELECT doc_id, source, size, -ln(u) / (CASE WHEN 100 * marks <= 5 * n THEN {HIGH_WEIGHT} WHEN 100 * marks <= 15 * n THEN {MID_WEIGHT} ELSE {LOW_WEIGHT} END)::DOUBLE AS key FROM d

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, SPACE_CLASS, fresh, normalised, quoted, staged, table, words_of
+from .common import SPACE_CHARS, SPACE_CLASS, fresh, normalised, quoted, staged, table, tagged, words_of
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -70,13 +70,18 @@ def _repeat_words(df: DataFrame, words: str, n_words: str) -> DataFrame:
     return df.withColumn("n_repeat_words", covered).drop("rw_any", "rw_at")
 
 
-def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per input row: tag, id, host, digest, raw (hash of the text as it is), counts of the base rules, normalised lines with their places."""
+def two_hashes(*of: Column) -> Column:
+    """128 bits that stand for a string: with 64, two of 10^11 lines would be alike by chance."""
+    return F.struct(F.xxhash64(*of).alias("a"), F.xxhash64(F.lit(1), *of).alias("b"))
+
+
+def profile(rows: DataFrame, tag: str, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """One row for each of ``rows``: its tag, id, host, digest, counts of the base rules, normalised lines with their places."""
     text = F.coalesce(quoted(text_col), F.lit(""))
-    df = docs.select(quoted(id_col).alias("id"), quoted(host_col).alias("host"), text.alias("text"))
+    df = rows.select(quoted(tag).alias("tag"), quoted(id_col).alias("id"), quoted(host_col).alias("host"), text.alias("text"))
     bare = _without_space(F.col("text"))
     df = df.select(
-        "id", "host", F.xxhash64(normalised(F.col("text"))).alias("digest"), F.xxhash64("text").alias("raw"), "text",
+        "tag", "id", "host", two_hashes(normalised(F.col("text"))).alias("digest"), "text",
         F.length(bare).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         words_of(F.col("text")).alias("words"),
@@ -88,14 +93,14 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     df = _repeat_words(df, "words", "n_words")
     tidy = F.transform(F.col("raw_lines"), lambda x: F.lower(F.trim(F.regexp_replace(x, SPACE_CLASS + "+", " "))))
     df = df.select(
-        "id", "host", "digest", "raw", "word_chars", "n_symbols", "n_words", "n_repeat_words", "places",
+        "tag", "id", "host", "digest", "word_chars", "n_symbols", "n_words", "n_repeat_words", "places",
         (F.size("raw_lines") - F.size(F.array_distinct("raw_lines"))).cast("long").alias("n_dup_lines"), tidy.alias("tidy"),
     )
     # a normalised line has one space between words: words = spaces + 1
-    lines = F.sort_array(F.transform(F.col("tidy"), lambda x, k: F.struct(F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).cast("long").alias("words"), F.get("places", k).alias("place"))))
+    lines = F.sort_array(F.transform(F.col("tidy"), lambda x, k: F.struct(two_hashes(x).alias("line"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).cast("long").alias("words"), F.get("places", k).alias("place"))))
     df = df.withColumn("lines", lines).drop("tidy", "places")
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return df.select(F.monotonically_increasing_id().alias("tag"), "*", base_failed.alias("base_failed"))
+    return df.select("*", base_failed.alias("base_failed"))
 
 
 def frequent_lines(lines: DataFrame, profiles: DataFrame, min_docs: int, max_share: float) -> DataFrame:
@@ -107,12 +112,11 @@ def frequent_lines(lines: DataFrame, profiles: DataFrame, min_docs: int, max_sha
     return many.alias("l").join(per_host.alias("h"), F.col("l.host").eqNullSafe(F.col("h.host"))).where(F.col("l.docs") > limit).select("l.host", "l.line")
 
 
-def quality_verdicts(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+def _verdicts(
+    rows: DataFrame, tag: str, id_col: str, text_col: str, host_col: str,
     min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, depleted_share: float = DEPLETED_SHARE,
 ) -> DataFrame:
-    """The profile of each row with removed_words, removed_lines (their places in the text split at line ends; null if none) and kept."""
-    profiles = staged(profile(docs, id_col, text_col, host_col), "quality-profile")
+    profiles = staged(profile(rows, tag, id_col, text_col, host_col), "quality-profile")
     lines = profiles.select("tag", "host", "digest", F.explode("lines").alias("l")).select("tag", "host", "digest", "l.line", "l.words", "l.place")
     frequent = staged(frequent_lines(lines, profiles, min_docs, max_share), "quality-frequent")
     hits = lines.alias("a").join(frequent.alias("f"), F.col("a.host").eqNullSafe(F.col("f.host")) & (F.col("a.line") == F.col("f.line")))
@@ -122,6 +126,12 @@ def quality_verdicts(
     return df.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
+def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
+    """The profile of each row with removed_words, removed_lines (their places in the text split at line ends; null if none) and kept.  ``limits``: min_docs, max_share, depleted_share."""
+    tag = fresh("qr_tag", docs.columns)
+    return _verdicts(tagged(docs, tag), tag, id_col, text_col, host_col, **limits)
+
+
 def without_lines(text: Column, places: Column) -> Column:
     """The text without the lines at ``places`` (ascending, from 0), each with one line end; what lies between two of them is taken whole."""
     all_lines = F.split(text, "\n", -1)
@@ -137,16 +147,15 @@ def filter_quality(
     """The rows that pass, without the lines above the limit; the input's columns.
 
     Of a text that loses lines, ``chars_col`` (if there is one) is counted
-    anew; other rows stay as they are.  A verdict and the places of its lines
-    follow from host and text alone, so they are known by (host, hash of the
-    text as it is): rows of equal text and host share one.
+    anew; other rows stay as they are.  Verdicts find their rows by the rows'
+    tags, whatever the rows hold.
     """
-    host, raw, kept, gone = own = [fresh(f"qr_{k}", docs.columns) for k in ("host", "raw", "kept", "gone")]
-    marked = quality_verdicts(docs, id_col, text_col, host_col, **limits).where(~F.col("kept") | F.col("removed_lines").isNotNull())
-    marks = marked.groupBy("host", "raw").agg(F.first(F.struct("kept", F.when(F.col("kept"), F.col("removed_lines")).alias("gone"))).alias("m"))
-    marks = staged(marks.select("host", "raw", "m.kept", "m.gone"), "quality-marks").toDF(*own)
-    mine = F.xxhash64(F.coalesce(quoted(text_col), F.lit("")))
-    rows = docs.join(marks, quoted(host_col).eqNullSafe(F.col(host)) & (mine == F.col(raw)), "left").where(F.coalesce(F.col(kept), F.lit(True)))
+    tag, kept, gone = (fresh(f"qr_{k}", docs.columns) for k in ("tag", "kept", "gone"))
+    rows = tagged(docs, tag)
+    marks = _verdicts(rows, tag, id_col, text_col, host_col, **limits).where(~F.col("kept") | F.col("removed_lines").isNotNull())
+    # written, so that its size is known: where marks are few, no text is shuffled to meet them
+    marks = staged(marks.select("tag", "kept", F.when(F.col("kept"), F.col("removed_lines")).alias("gone")), "quality-marks").toDF(tag, kept, gone)
+    rows = rows.join(marks, tag, "left").where(F.coalesce(F.col(kept), F.lit(True)))
     loses = F.col(gone).isNotNull()
     rows = rows.withColumn(text_col, F.when(loses, without_lines(quoted(text_col), F.col(gone))).otherwise(quoted(text_col)))
     if chars_col in docs.columns:

@@ -15,19 +15,27 @@ beyond the guarantee, pairs between the two are found with high probability.
 
 *Buckets.*  Only distinct fingerprints are indexed: copies meet no more.
 Buckets are read as a sorted stream.  In a bucket of up to ``bucket_cap``
-fingerprints all are compared, and a spanning forest of the links goes out,
-not the pairs.  Larger buckets lose no pair either.  Where ``max_bits`` is
+fingerprints all are compared; out go all links if they are few, else a least
+spanning forest of them, not the pairs: whichever bits a later check asks
+for, the forest connects what the links within so many bits connect.  Larger
+buckets lose no pair either.  Where ``max_bits`` is
 within the guarantee, their fingerprints go on to a second signature: the
 bucket's own and, of each other segment, the variants less so many bits that
 the guarantee stays (``_second_signatures``).  Where it is beyond, no second
 signature is sure to keep the pairs: the bucket is cut into blocks, and every
 block is compared with every other (``_block_pairs``).
 
+*Similarity.*  Where texts are asked to be alike by their shingles, links
+between fingerprints are candidates, and the sets of distinct shingles decide
+(``similar``): shared over all, ``similarity`` at least.
+
 *Components.*  Alternating large-star and small-star steps on the links between
-fingerprints, each step a join written to the shared folder.
+fingerprints.  What a step knows of a node is written to the shared folder
+before it meets the node's links, so that a node of very many links is split
+over tasks, or its small table broadcast.
 
 Defined cases.  Null or blank text has fingerprint zero and is linked like any
-other.  Texts of fewer words than a shingle are one shingle.  Null identifiers
+other.  Texts of fewer words than a shingle are one shingle; blank ones have the empty set and are alike.  Null identifiers
 are kept; the component's identifier is the smallest that is not null (null if
 there is none).  Repeated rows come back as often as they went in.  An empty
 table gives an empty result.  Very long texts are hashed in blocks.  Extra
@@ -36,16 +44,16 @@ columns are never looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, map_arrow, quoted, staged, table
+from .common import fresh, map_arrow, quoted, staged, table, tagged
 
 SEED = 42
 BUCKET_CAP = 1024
@@ -63,23 +71,40 @@ def word_blocks(data: bytes, size: int = BLOCK) -> Iterator[list[bytes]]:
         start = end
 
 
-def fingerprint(text: str | None, shingle: int = 3, words: int = 1) -> list[int]:
-    """SimHash of the text: ``words`` unsigned 64-bit numbers."""
-    ones, total, tail = np.zeros((words, 64), np.int64), 0, []
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of the text's word shingles, in order, block by block."""
+    n, tail = 0, []
     for part in word_blocks((text or "").encode("utf-8", "surrogatepass").lower()):
         part = tail + part
         if len(part) >= shingle:
-            hashes = [xxhash.xxh64_intdigest(b" ".join(part[i : i + shingle]), SEED) for i in range(len(part) - shingle + 1)]
-            ones, total = ones + _ones(hashes, words), total + len(hashes)
+            n += 1
+            yield np.array([xxhash.xxh64_intdigest(b" ".join(part[i : i + shingle]), SEED) for i in range(len(part) - shingle + 1)], dtype=np.uint64)
         tail = part[max(0, len(part) - shingle + 1) :] if shingle > 1 else []
-    if total == 0 and tail:
-        ones, total = _ones([xxhash.xxh64_intdigest(b" ".join(tail), SEED)], words), 1
+    if n == 0 and tail:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(tail), SEED)], dtype=np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = 3, words: int = 1, distinct: bool = False) -> list[int]:
+    """SimHash of the text: ``words`` unsigned 64-bit numbers; of every shingle, or with ``distinct`` of each once."""
+    blocks = shingle_hashes(text, shingle)
+    if distinct:
+        every = list(blocks)
+        blocks = iter([np.unique(np.concatenate(every))] if every else [])
+    ones, total = np.zeros((words, 64), np.int64), 0
+    for hashes in blocks:
+        ones, total = ones + _ones(hashes, words), total + len(hashes)
     return [int.from_bytes(np.packbits(2 * o > total).tobytes(), "big") if total else 0 for o in ones]
 
 
-def _ones(hashes: list[int], words: int) -> np.ndarray:
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct shingles as sorted unsigned 32-bit numbers."""
+    every = [np.unique(h.astype(np.uint32)) for h in shingle_hashes(text, shingle)]
+    return np.unique(np.concatenate(every)) if every else np.empty(0, np.uint32)
+
+
+def _ones(h: np.ndarray, words: int) -> np.ndarray:
     """How many of the hashes have each bit set; later words are of the hashes mixed (64-bit finaliser of MurmurHash3)."""
-    h, out = np.array(hashes, dtype=np.uint64), []
+    out = []
     for k in range(words):
         x = h + np.uint64((k * 0x9E3779B97F4A7C15) & (2**64 - 1))
         if k:
@@ -90,26 +115,26 @@ def _ones(hashes: list[int], words: int) -> np.ndarray:
     return np.stack(out)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, words: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, words: int = 1, distinct: bool = False) -> DataFrame:
     """id, f0, f1, ... (64 bits each, as longs), one row per input row."""
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     names = [f"f{k}" for k in range(words)]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle, words) for t in b.column(1)], dtype=np.uint64).reshape(-1, words).view(np.int64)
+            fp = np.array([fingerprint(t.as_py(), shingle, words, distinct) for t in b.column(1)], dtype=np.uint64).reshape(-1, words).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(fp[:, k])) for k in range(words))], ["id", *names])
 
     return map_arrow(rows, hashed, f"id {rows.schema['id'].dataType.simpleString()}, " + ", ".join(f"{x} long" for x in names))
 
 
-def cut(words: int, segments: int) -> list[tuple[int, int, int]]:
-    """(word, first bit, bits) of each segment; a segment lies within one word."""
+def cut(words: int, segments: int, width: int | None = None) -> list[tuple[int, int, int]]:
+    """(word, first bit, bits) of each segment; a segment lies within one word, and has at most ``width`` bits of it (the others are verified only)."""
     if segments % words or not 0 < segments // words <= 64:
         raise ValueError("segments must be a multiple of words")
     n = segments // words
     edges = [64 * k // n for k in range(n + 1)]
-    return [(w, a, z - a) for w in range(words) for a, z in zip(edges, edges[1:], strict=False)]
+    return [(w, a, min(z - a, width or 64)) for w in range(words) for a, z in zip(edges, edges[1:], strict=False)]
 
 
 def _mask(start: int, bits: int) -> int:
@@ -120,13 +145,23 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def _rest(slot: Column, names: list[str], segments: list[tuple[int, int, int]]) -> Column:
+    """The bits of a slot's segment but the slot's own."""
+    masks = [[F.lit(_signed(_mask(a, n) & ~(1 << (a + i)))) if i < n else F.lit(0).cast("long") for i in range(64)] for _, a, n in segments]
+    word = F.coalesce(*[F.when(slot < F.lit(64 * max(k + 1 for k, s in enumerate(segments) if s[0] == w)), F.col(name)) for w, name in enumerate(names)])
+    return word.bitwiseAND(F.get(F.array(*[m for row in masks for m in row]), slot))
+
+
 def _signatures(distinct: DataFrame, names: list[str], segments: list[tuple[int, int, int]]) -> DataFrame:
-    """slot, rest, f0, ...: for each segment and bit of it, the segment's bits but that one.  slot: segment * 64 + bit."""
-    parts = [
-        F.struct(F.lit(64 * k + i).alias("slot"), F.col(names[w]).bitwiseAND(F.lit(_signed(_mask(a, n) & ~(1 << (a + i))))).alias("rest"))
-        for k, (w, a, n) in enumerate(segments) for i in range(n)
-    ]
-    return distinct.select(*names, F.explode(F.array(*parts)).alias("s")).select("s.slot", "s.rest", *names)
+    """slot, rest, f0, ...: for each segment and bit of it, the segment's bits but that one.  slot: segment * 64 + bit.
+
+    Dealt and sorted by (slot, rest).  ``rest`` follows from the other columns
+    and is not sent with them.
+    """
+    slots = F.array(*[F.lit(64 * k + i) for k, (_, _, n) in enumerate(segments) for i in range(n)])
+    rest = _rest(F.col("slot"), names, segments)
+    dealt = distinct.select(F.explode(slots).alias("slot"), *names).repartition("slot", rest)
+    return dealt.select(F.col("slot").cast("long").alias("slot"), rest.alias("rest"), *names).sortWithinPartitions("slot", "rest")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], n_keys: int, cap: int) -> Iterator[tuple[np.ndarray, bool]]:
@@ -163,43 +198,68 @@ def _runs(batches: Iterator[pa.RecordBatch], n_keys: int, cap: int) -> Iterator[
         yield held, over
 
 
-def _forest(fps: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links of a spanning forest of the fingerprints (rows of unsigned words) within ``max_bits`` of each other."""
-    u, links = np.unique(fps, axis=0), []
-    left = np.arange(len(u))
-    while len(left) > 1:
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
-            at = queue.pop()
-            near = np.bitwise_count(u[left] ^ u[at]).sum(axis=1, dtype=np.int64) <= max_bits
-            found = left[near]
-            links += [(u[at], u[x]) for x in found]
-            queue += list(found)
-            left = left[~near]
-    return links
-
-
-#: Buckets of up to so many fingerprints are compared all at once, larger ones by a forest each.
+#: A bucket's links go out whole while there are no more than so many for each of its fingerprints.
+LINKS_EACH = 4
+
+
+def _near(u: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links i < j of the fingerprints ``u`` (rows of unsigned words) within ``max_bits``: all, or a least spanning forest."""
+    left, right, most = [], [], LINKS_EACH * len(u)
+    for at in range(0, len(u), 256):
+        d = np.zeros((min(256, len(u) - at), len(u) - at), np.int16)
+        for w in range(u.shape[1]):
+            d += np.bitwise_count(u[at : at + 256, w, None] ^ u[None, at:, w])
+        i, j = np.nonzero(d <= max_bits)
+        i, j = i[i < j] + at, j[i < j] + at
+        left.append(i)
+        right.append(j)
+        most -= len(i)
+        if most < 0:
+            return _forest(u, max_bits)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _forest(u: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a least spanning forest: grown from any fingerprint by the nearest one outside, while it is within ``max_bits``."""
+    far = np.int16(64 * u.shape[1] + 1)
+    best, parent, out = np.full(len(u), far), np.full(len(u), -1), np.ones(len(u), bool)
+    links = []
+    for _ in range(len(u)):
+        at = int(np.argmin(np.where(out, best, far + 1)))
+        out[at] = False
+        if best[at] <= max_bits:
+            links.append((parent[at], at))
+        d = np.bitwise_count(u ^ u[at]).sum(axis=1, dtype=np.int16)
+        nearer = d < best
+        best[nearer], parent[nearer] = d[nearer], at
+    a = np.array(links, dtype=np.int64).reshape(-1, 2)
+    return a[:, 0], a[:, 1]
+
+
+#: Buckets of up to so many fingerprints are compared all at once, larger ones each for itself.
 FEW = 8
 
 
 def _linked(rows: np.ndarray, n_keys: int, max_bits: int) -> np.ndarray:
     """Links (a0.., b0..) within the runs of equal keys of ``rows``."""
-    fps = np.ascontiguousarray(rows[:, n_keys:]).view(np.uint64)
     edges = np.concatenate([[0], np.flatnonzero((rows[1:, :n_keys] != rows[:-1, :n_keys]).any(axis=1)) + 1, [len(rows)]])
     sizes = np.diff(edges)
+    fps = np.ascontiguousarray(rows[:, n_keys:]).view(np.uint64)
     out = []
-    run = np.repeat(np.where(sizes <= FEW, np.arange(len(sizes)), -1), sizes)
+    few = (sizes > 1) & (sizes <= FEW)
+    held = np.repeat(few, sizes)
+    u, run = fps[held], np.repeat(np.flatnonzero(few), sizes[few])
     for k in range(1, FEW):
-        at = np.flatnonzero((run[:-k] == run[k:]) & (run[:-k] >= 0)) if len(run) > k else np.empty(0, int)
+        at = np.flatnonzero(run[:-k] == run[k:]) if len(run) > k else np.empty(0, int)
         if not len(at):
             break
-        d = np.bitwise_count(fps[at] ^ fps[at + k]).sum(axis=1, dtype=np.int64)
+        d = np.bitwise_count(u[at] ^ u[at + k]).sum(axis=1, dtype=np.int64)
         at = at[(d <= max_bits) & (d > 0)]
-        out.append(np.hstack([fps[at], fps[at + k]]))
+        out.append(np.hstack([u[at], u[at + k]]))
     for i in np.flatnonzero(sizes > FEW):
-        pairs = _forest(fps[edges[i] : edges[i + 1]], max_bits)
-        out += [np.concatenate(p)[None] for p in pairs]
+        u = np.unique(fps[edges[i] : edges[i + 1]], axis=0)
+        a, b = _near(u, max_bits)
+        out.append(np.hstack([u[a], u[b]]))
     return np.vstack(out).view(np.int64) if out else np.empty((0, 2 * fps.shape[1]), np.int64)
 
 
@@ -241,12 +301,12 @@ def _block_pairs(over: DataFrame, names: list[str], bucket_cap: int) -> DataFram
     return met.select("slot", "rest", F.least("mine", "other").cast("long").alias("i"), F.greatest("mine", "other").cast("long").alias("j"), *names)
 
 
-def links(distinct: DataFrame, names: list[str], max_bits: int = 2, n_segments: int | None = None, bucket_cap: int = BUCKET_CAP) -> DataFrame:
+def links(distinct: DataFrame, names: list[str], max_bits: int = 2, n_segments: int | None = None, bucket_cap: int = BUCKET_CAP, width: int | None = None) -> DataFrame:
     """a0.., b0..: enough links between distinct fingerprints (columns ``names``) to connect what is within ``max_bits`` and meets."""
     if n_segments is None:  # two at least: a bucket that is too large is parted by another segment
         n_segments = max(2, max_bits // 2 + 1)
         n_segments += -n_segments % len(names)
-    segments = cut(len(names), n_segments)
+    segments = cut(len(names), n_segments, width)
     guarantee = min(max_bits, 2 * n_segments - 1)
     ends = [f"a{k}" for k in range(len(names))] + [f"b{k}" for k in range(len(names))]
 
@@ -274,8 +334,7 @@ def links(distinct: DataFrame, names: list[str], max_bits: int = 2, n_segments:
         return compare_runs
 
     longs = ", ".join(f"{x} long" for x in ends)
-    met = _signatures(distinct, names, segments).repartition("slot", "rest").sortWithinPartitions("slot", "rest")
-    found = staged(map_arrow(met, compare, "slot long, rest long, " + longs), "simhash-met")
+    found = staged(map_arrow(_signatures(distinct, names, segments), compare, "slot long, rest long, " + longs), "simhash-met")
     direct = found.where("slot < 0").select(*ends)
     over = found.where("slot >= 0").select("slot", "rest", *[F.col(f"a{k}").alias(n) for k, n in enumerate(names)])
     if not over.isEmpty():
@@ -293,68 +352,122 @@ def components(edges: DataFrame) -> DataFrame:
     mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "components")
     before = None
-    while (state := mark(now)) != before:
+    while (state := mark(now)) != before and state[0]:
         before = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "components-low")
         # large star: larger neighbours move to the smallest one
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = staged(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "components-large")
         # small star: smaller neighbours, and the node itself, move to the smallest
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = staged(large.groupBy("a").agg(F.min("b").alias("m")), "components-low")
         hop = large.join(low, "a").select("a", "b", "m")
         small = hop.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
         now = staged(small.distinct(), "components")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2, words: int = 1, n_segments: int | None = None,
-    verify_words: int | None = None, verify_bits: int | None = None, bucket_cap: int = BUCKET_CAP,
-) -> DataFrame:
-    """id, f0.., component_id (smallest id of the component), one row per input row.
+def similar(pairs: DataFrame, rows: DataFrame, tag: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b, tag_a, tag_b) whose texts share ``similarity`` of all their distinct shingles.
 
-    ``words`` are indexed.  With ``verify_words`` beyond them, links are
-    verified once more on all of these: ``verify_bits`` at most.  Texts equal in
-    all indexed words are one class, which its smallest id stands for.
+    Sets are made of the texts in pairs only, once each; they meet by two joins
+    on the tag, between tables of which AQE splits what is hot.
     """
-    names = [f"f{k}" for k in range(words)]
-    more = [f"f{k}" for k in range(words, verify_words or words)]
-    own = staged(fingerprints(docs, id_col, text_col, shingle, len(names + more)), "simhash-fp")
-    first = F.struct(F.col("id").isNull().alias("no_id"), "id", *more)
-    distinct = staged(own.groupBy(*names).agg(F.min(first).alias("first")).select(*names, F.col("first.id").alias("first_id"), *[F.col("first")[m].alias(m) for m in more]), "simhash-distinct")
+    ends = staged(pairs.select(F.col("tag_a").alias("tag")).unionByName(pairs.select(F.col("tag_b").alias("tag"))).distinct(), "simhash-ends")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in part.column(1)], pa.binary())], ["tag", "shingles"])
+
+    texts = rows.select(quoted(tag).alias("tag"), quoted(text_col).alias("text")).join(ends, "tag").select("tag", "text")
+    made = staged(map_arrow(texts, sets, f"tag {ends.schema['tag'].dataType.simpleString()}, shingles binary"), "simhash-sets")
+    met = pairs.select("tag_a", "tag_b").join(made.select(F.col("tag").alias("tag_a"), F.col("shingles").alias("x")), "tag_a").join(made.select(F.col("tag").alias("tag_b"), F.col("shingles").alias("y")), "tag_b")
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(1), b.column(2), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in (x, y))
+                shared = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= similarity * max(len(x), len(y)) else 0
+                keep.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_()))], ["pair"])
+
+    pair = F.struct("tag_a", "tag_b").alias("pair")
+    good = map_arrow(met.select(pair, "x", "y"), alike, f"pair struct<tag_a: {ends.schema['tag'].dataType.simpleString()}, tag_b: {ends.schema['tag'].dataType.simpleString()}>")
+    return pairs.join(staged(good.select("pair.tag_a", "pair.tag_b"), "simhash-similar"), ["tag_a", "tag_b"])
+
+
+def _classes(own: DataFrame, names: list[str], check: Callable[[DataFrame], DataFrame] | None = None, **index) -> DataFrame:
+    """f0.., component_id: the distinct fingerprints of ``own`` (id, f0..) and the smallest id of each one's component.
+
+    ``check`` keeps some of the links (a, b, id_a, id_b), where an id is that
+    of a fingerprint's first row.
+    """
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id")
+    distinct = staged(own.groupBy(*names).agg(F.min(first).alias("first")).select(*names, F.col("first.id").alias("first_id")), "simhash-distinct")
     # nodes are in the order of their identifiers, so that a component's root carries its identifier and nothing is grouped by component
     node = F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("id"), *names)
-    met = links(distinct, names, max_bits, n_segments, bucket_cap)
+    met = links(distinct, names, **index)
     for end in "ab":
-        side = [F.col(n).alias(f"{end}{k}") for k, n in enumerate(names + more)]
-        met = met.join(distinct.select(*side, node.alias(f"node_{end}")), [f"{end}{k}" for k in range(words)])
-    if more:
-        differing = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(1, len(names + more))), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-        met = met.where(differing <= verify_bits)
-    roots = components(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))).select(*[F.col("node")[n].alias(n) for n in names], F.col("root.id").alias("root_id"))
-    classes = staged(distinct.join(roots, names, "left").select(*names, F.coalesce("root_id", "first_id").alias("component_id")), "simhash-classes")
+        met = met.join(distinct.select(*[F.col(n).alias(f"{end}{k}") for k, n in enumerate(names)], node.alias(f"node_{end}")), [f"{end}{k}" for k in range(len(names))])
+    met = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    if check is not None:
+        met = check(staged(met.select("a", "b", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")), "simhash-pairs")).select("a", "b")
+    roots = components(met).select(*[F.col("node")[n].alias(n) for n in names], F.col("root.id").alias("root_id"))
+    return staged(distinct.join(roots, names, "left").select(*names, F.coalesce("root_id", "first_id").alias("component_id")), "simhash-classes")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2, words: int = 1, n_segments: int | None = None, bucket_cap: int = BUCKET_CAP,
+) -> DataFrame:
+    """id, f0.., component_id (smallest id of the component), one row per input row: linked by their fingerprints."""
+    names = [f"f{k}" for k in range(words)]
+    own = staged(fingerprints(docs, id_col, text_col, shingle, words), "simhash-fp")
+    classes = _classes(own, names, max_bits=max_bits, n_segments=n_segments, bucket_cap=bucket_cap)
     # both sides are plain tables, so that a fingerprint of very many copies can be split over tasks
     return own.join(classes, names).select("id", *names, "component_id")
 
 
-def drop_near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, max_bits: int = 38, words: int = 3, n_segments: int = 9,
-    verify_words: int = 8, verify_bits: int = 84, **kw,
+def similar_documents(
+    docs: DataFrame, tag: str, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
+    words: int = 4, n_segments: int = 12, width: int = 18, max_bits: int = 50, bucket_cap: int = BUCKET_CAP,
 ) -> DataFrame:
-    """One row of each component stays: the one with the smallest identifier.  The input's columns.
+    """id (struct<no_id, id, tag>), component_id (the smallest such of the component), one row per input row: linked by the similarity of their shingles.
+
+    ``docs`` has a column ``tag`` that names a row for good.  Fingerprints are
+    of distinct shingles; rows whose fingerprints are equal in all words are one class.
+
+    The defaults are for a similarity of 0.8 and more.  Texts of similarity 0.8
+    differ in 15 % of the bits at the mean (39 of 256, deviation 6): a segment
+    of 18 bits then differs by at most one with probability 0.22, one of 12
+    with 0.95 (at 0.85: 0.99), and 50 bits are exceeded by 1 in 40.
+    """
+    names = [f"f{k}" for k in range(words)]
+    order = F.struct(quoted(id_col).isNull().alias("no_id"), quoted(id_col).alias("id"), quoted(tag).alias("tag"))
+    own = staged(fingerprints(docs.select(order.alias("id"), quoted(text_col).alias("text")), "id", "text", shingle, words, distinct=True), "simhash-fp")
+
+    def check(met: DataFrame) -> DataFrame:
+        pairs = met.select("a", "b", F.col("id_a.tag").alias("tag_a"), F.col("id_b.tag").alias("tag_b"))
+        return similar(pairs, docs, tag, text_col, shingle, similarity)
+
+    classes = _classes(own, names, check, max_bits=max_bits, n_segments=n_segments, bucket_cap=bucket_cap, width=width)
+    return own.join(classes, names).select("id", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """One row of each component of similar texts stays: the one with the smallest identifier.  The input's columns.
 
-    The defaults are for a similarity of 0.8 and more of five-word shingles.
-    Texts of similarity 0.8 differ in 29 of 192 indexed bits at the mean and in
-    77 of 512 in all; up to 17 indexed bits, pairs are sure to meet.  A null
-    identifier counts as larger than any other; rows that repeat the staying
-    identifier are told apart by their place in the input.
+    A null identifier counts as larger than any other; rows that repeat the
+    staying identifier are told apart by their places in the input.  ``kw``: as
+    of ``similar_documents``.
     """
-    own = {k: fresh(k, docs.columns) for k in ("nd_id", "nd_tag")}
-    tagged = staged(docs.withColumn(own["nd_tag"], F.monotonically_increasing_id()), "simhash-docs")
-    order = F.struct(quoted(id_col).isNull().alias("no_id"), quoted(id_col).alias("id"), quoted(own["nd_tag"]).alias("tag"))
-    found = near_duplicates(tagged.select(order.alias(own["nd_id"]), quoted(text_col)), own["nd_id"], text_col, shingle, max_bits, words, n_segments, verify_words, verify_bits, **kw)
-    gone = found.where(F.col("id.tag") != F.col("component_id.tag")).select(F.col("id.tag").alias(own["nd_tag"]))
-    return tagged.join(gone, own["nd_tag"], "left_anti").select([quoted(c) for c in docs.columns])
+    tag = fresh("nd_tag", docs.columns)
+    rows = tagged(docs, tag)
+    found = similar_documents(rows, tag, id_col, text_col, **kw)
+    # written, so that its size is known: where few rows go, no text is shuffled to find them
+    gone = staged(found.where(F.col("id.tag") != F.col("component_id.tag")).select(F.col("id.tag").alias(tag)), "simhash-gone")
+    return rows.join(gone, tag, "left_anti").select([quoted(c) for c in docs.columns])
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from cairnspark.llm import common
 from cairnspark.llm import exact_dedup as X
 
 
@@ -19,9 +20,8 @@ def brute(rows):
 
 
 def check(docs, **kw):
-    decisions, content, own = X.dedup_decisions(docs, **kw)
-    text = content.select(F.col(own["xd_tag"]).alias("tag"), "text")
-    got = decisions.join(text, "tag").collect()
+    tagged = common.tagged(docs, "xd_mark")
+    got = X._decided(tagged, "xd_mark", "doc_id", "text", **kw).join(tagged.select(F.col("xd_mark").alias("tag"), "text"), "tag").collect()
     rows = docs.select("doc_id", "text").collect()
     want = brute(map(tuple, rows))
     assert len(got) == len(rows)
@@ -66,11 +66,12 @@ def test_empty(odd):
 def test_state_goes_on_with_new_rows(spark, tmp_path):
     """A second call on the same state reads the new files only."""
     folder = str(tmp_path / "in")
-    rows = lambda *ids: spark.createDataFrame([("d", i, i) for i in ids], "digest string, id long, locator long")
+    schema = f"digest string, id long, locator {X.LOCATOR}"
+    rows = lambda *ids: spark.createDataFrame([("d", i, (0, i)) for i in ids], schema)
     state = X.DigestState(spark)
     for ids in ((5, 7), (3, 9)):
         rows(*ids).write.mode("append").parquet(folder)
-        state.absorb(spark.readStream.schema("digest string, id long, locator long").parquet(folder))
+        state.absorb(spark.readStream.schema(schema).parquet(folder))
         last = state.table("bigint").collect()
     assert [(r["digest"], r["first"]["id"], r["seen"]) for r in last] == [("d", 3, 4)]
 
@@ -79,3 +80,15 @@ def test_state_goes_on_with_new_rows(spark, tmp_path):
 def test_other_identifiers(odd, id_type):
     docs = odd.withColumn("doc_id", F.col("doc_id").cast(id_type))
     assert X.exact_dedup(docs).count() == X.exact_dedup(odd).count()
+
+
+def test_only_hits_are_fetched(spark, documents):
+    """Texts that no other shares a digest with are not compared."""
+    rows = common.tagged(documents, "t")
+    made = len(common._made)
+    X._decided(rows, "t", "doc_id", "text")
+    hits = next(spark.read.parquet(p) for p in common._made[made:] if "/dedup-hits-" in p)
+    groups = {}
+    for r in documents.select("text").collect():
+        groups[norm(r["text"])] = groups.get(norm(r["text"]), 0) + 1
+    assert hits.count() == sum(n for n in groups.values() if n > 1)

@@ -152,3 +152,72 @@ def test_dropping(spark, odd, hot):
     assert S.drop_near_duplicates(odd).columns == odd.columns
     # of the copies and near copies one stays, of the others all
     assert S.drop_near_duplicates(hot).count() == 201
+
+
+def exact_groups(rows_, similarity=0.8, k=5):
+    """Pairs of at least that similarity of their distinct shingles, and the components of these, by brute force."""
+    sets = []
+    for _, t in rows_:
+        words = (t or "").lower().split()
+        sets.append({" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set())
+    pairs = set()
+    for i, x in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            y = sets[j]
+            if min(len(x), len(y)) >= similarity * max(len(x), len(y)) and len(x & y) >= similarity * len(x | y):
+                pairs.add((i, j))
+    return pairs
+
+
+@pytest.fixture(scope="module")
+def near_pairs(spark):
+    """Texts of 60 to 400 invented words, each with copies whose words are exchanged at rates around what similarity 0.8 allows; on no table that widths were chosen on."""
+    rng = np.random.default_rng(23)
+    word = lambda: "".join(chr(97 + int(c)) for c in rng.integers(0, 26, rng.integers(2, 7)))
+    rows_, n = [], 0
+    for _ in range(150):
+        base = [word() for _ in range(int(rng.integers(60, 400)))]
+        for rate in (0.0, float(rng.uniform(0.0, 0.05)), float(rng.uniform(0.0, 0.12))):
+            rows_.append((n, " ".join(word() if rng.random() < rate else w for w in base)))
+            n += 1
+    return rows_
+
+
+def test_similar_documents_against_exact_sets(spark, near_pairs):
+    docs = spark.createDataFrame(near_pairs, "doc_id long, text string").withColumn("t", F.struct(F.lit(0).cast("long").alias("file"), F.col("doc_id").alias("row")))
+    pairs = exact_groups(near_pairs)
+    want = groups(range(len(near_pairs)), pairs)
+    of_all = {i: g for g in want for i in g}
+    got = {}
+    for r in S.similar_documents(docs, "t").collect():
+        got.setdefault(r["component_id"]["id"], set()).add(r["id"]["id"])
+    together = {i: g for g in got.values() for i in g}
+    # nothing is joined that exact similarity does not join
+    assert all(g <= of_all[next(iter(g))] for g in got.values())
+    found_ = sum(j in together[i] for i, j in pairs)
+    print(found_, len(pairs))
+    assert len(pairs) > 100 and found_ >= 0.9 * len(pairs)
+
+
+def test_caps_do_not_matter_for_similar_documents(spark, hot):
+    docs = hot.where("doc_id < 300").withColumn("t", F.struct(F.lit(0).cast("long").alias("file"), F.col("doc_id").alias("row")))
+    of = lambda cap: sorted((r["id"]["id"], r["component_id"]["id"]) for r in S.similar_documents(docs, "t", bucket_cap=cap).collect())
+    assert of(4) == of(1024)
+
+
+def test_near_gives_all_links_or_a_least_forest():
+    rng = np.random.default_rng(5)
+    for n, spread in ((40, 128), (300, 40), (600, 6)):
+        base = rng.integers(0, 1 << 64, 2, dtype=np.uint64)
+        u = np.repeat(base[None], n, axis=0)
+        for row in u:
+            for b in rng.integers(0, 128, rng.integers(0, spread)):
+                row[b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+        u = np.unique(u, axis=0)
+        d = np.bitwise_count(u[:, None] ^ u[None]).sum(axis=2)
+        for top in (4, 12, 30):
+            a, b = S._near(u, top)
+            assert len(a) <= max(S.LINKS_EACH, 1) * len(u)
+            for bits in range(1, top + 1, 5):
+                want = {(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(d <= bits, 1)))}
+                assert groups(range(len(u)), [(int(i), int(j)) for i, j in zip(a, b) if d[i, j] <= bits]) == groups(range(len(u)), want)
