@@ -5,14 +5,18 @@
    that a piece is known by (length, task, number).
 2. *Histogram.*  How often each length occurs: at most ``capacity`` numbers,
    whatever the corpus, and all that packing depends on.
-3. *Bin completion.*  Around the largest remaining length, undominated fillings
-   of the rest of the sequence are enumerated depth first: a filling is
-   dominated if a length in it could be exchanged for a longer one that also
-   fits.  The best-fit filling (largest that fits, repeatedly) is the incumbent
-   and a branch is cut when its waste cannot be less than the incumbent's.  A
-   filling is applied as often as its lengths last, so that the work follows
-   the number of different lengths, not of documents.  The whole solution is
-   kept against plain best fit decreasing, the first incumbent.
+3. *Bin completion.*  Best fit decreasing gives the first solution (the
+   incumbent); one that puts the fullest filling around the largest remaining
+   length, as often as the lengths last, the second.  Where the better one has
+   more sequences than the lower bound, its last sequences are opened again, 8,
+   then twice as many, up to all: branch and bound looks for a packing of
+   their lengths in one sequence less.  Around the largest remaining length,
+   all undominated fillings are tried, least waste first (a filling is
+   dominated if a length of it could be exchanged for a longer one that also
+   fits, or one more would fit); a branch ends where its waste exceeds what one
+   sequence less leaves to waste.  What is found becomes the incumbent, until
+   the bound is met or ``steps`` fillings were looked at.  With fewer steps than
+   that takes, the result is the incumbent: that is the one limit of the search.
 4. *Places.*  Ranks within a length (offsets per task plus the number) are laid
    over the fillings' slots in order; every piece finds its sequence alone.
 
@@ -30,6 +34,7 @@ import json
 import os
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +47,10 @@ from .common import map_arrow, quoted, staged, table
 
 CAPACITY = 2048
 END_ID = 0
-#: Steps of the search for one filling.
-SEARCH_STEPS = 4000
+#: Steps of the search for one filling, and of the search over sequences.
+SEARCH_STEPS, BRANCH_STEPS = 4000, 30_000
+#: Beyond so many sequences at a time none are opened again: the recursion is as deep.
+MOST_OPENED = 256
 #: Words that a process remembers.
 CACHE_WORDS = 600_000
 
@@ -227,9 +234,114 @@ def complete(lengths: list[int], counts: list[int], room: int, steps: int = SEAR
     return best
 
 
-def fillings(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = SEARCH_STEPS) -> list[tuple[tuple[int, ...], int]]:
-    """[(lengths of a sequence, times)] for all pieces of the histogram; the better of bin completion and best fit decreasing."""
-    return min((_fill(histogram, capacity, s) for s in (steps, 0)), key=lambda f: sum(t for _, t in f))
+def lower_bound(histogram: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing takes: of all lengths; or of those above half, each in its own, and what of the middle ones (at least k) has no room beside them."""
+    lengths = sorted(k for k, n in histogram.items() if n > 0)
+    most = -(-sum(k * histogram[k] for k in lengths) // capacity)
+    for k in [0, *(x for x in lengths if 2 * x <= capacity)]:
+        alone = sum(histogram[x] for x in lengths if x > capacity - k)
+        large = [x for x in lengths if capacity < 2 * x <= 2 * (capacity - k)]
+        middle = sum(x * histogram[x] for x in lengths if k <= x and 2 * x <= capacity)
+        n = sum(histogram[x] for x in large)
+        room = sum((capacity - x) * histogram[x] for x in large)
+        most = max(most, alone + n + max(0, -(-(middle - room) // capacity)))
+    return most
+
+
+def undominated(have: dict[int, int], room: int, slack: int, budget: list[int]) -> list[tuple[int, ...]]:
+    """The undominated fillings of ``room`` from ``have`` (length -> how many) that waste at most ``slack``, least waste first, then longest members.  ``budget``: steps left, in a list of one."""
+    lengths = sorted(k for k, n in have.items() if n > 0 and k <= room)
+    reach = np.cumsum([k * have[k] for k in lengths]).tolist()
+    out, chosen = [], {}
+
+    def dominated(free: int) -> bool:
+        for k in lengths:
+            if have[k] > chosen.get(k, 0):  # this one is left over
+                if k <= free or any(m and j < k <= j + free for j, m in chosen.items()):
+                    return True
+        return False
+
+    def grow(free: int, top: int) -> None:
+        budget[0] -= 1
+        if not dominated(free) and free <= slack:
+            out.append((free, tuple(k for k in sorted(chosen, reverse=True) for _ in range(chosen[k]))))
+        i = min(top, int(np.searchsorted(lengths, free, side="right")) - 1)
+        while i >= 0 and budget[0] > 0 and free - reach[i] <= slack:
+            k = lengths[i]
+            for m in range(min(have[k], free // k), 0, -1):
+                chosen[k] = m
+                grow(free - m * k, i - 1)
+                del chosen[k]
+            i -= 1
+
+    grow(room, len(lengths) - 1)
+    return [f for _, f in sorted(out, key=lambda f: (f[0], [-k for k in f[1]]))]
+
+
+def branch(have: dict[int, int], capacity: int, most: int, budget: list[int]) -> list[tuple[int, ...]] | None:
+    """A packing of ``have`` in at most ``most`` sequences; None if there is none, or ``budget`` is used up."""
+    have = {k: n for k, n in have.items() if n > 0}
+
+    def place(slack: int) -> list[tuple[int, ...]] | None:
+        left = [k for k, n in have.items() if n > 0]
+        if not left:
+            return []
+        top = max(left)
+        have[top] -= 1
+        for filling in undominated(have, capacity - top, slack, budget):
+            for k in filling:
+                have[k] -= 1
+            rest = place(slack - (capacity - top - sum(filling)))
+            for k in filling:
+                have[k] += 1
+            if rest is not None:
+                have[top] += 1
+                return [(top, *filling), *rest]
+            if budget[0] <= 0:
+                break
+        have[top] += 1
+        return None
+
+    slack = most * capacity - sum(k * n for k, n in have.items())
+    return place(slack) if slack >= 0 else None
+
+
+def _grouped(fills: list[tuple[int, ...]]) -> list[tuple[tuple[int, ...], int]]:
+    return list(Counter(fills).items())
+
+
+def _better(fills: list[tuple[tuple[int, ...], int]], capacity: int, bound: int, steps: int) -> list[tuple[tuple[int, ...], int]]:
+    """``fills`` with ever more of its last sequences packed anew, while that saves one and ``steps`` last."""
+    n, opened, budget = sum(t for _, t in fills), 8, [steps]
+    while n > bound and budget[0] > 0:
+        kept, tail, want = list(fills), Counter(), min(opened, n)
+        left = want
+        while left:  # the last sequences, of which one filling may stand for many
+            filling, times = kept.pop()
+            took = min(times, left)
+            for k in filling:
+                tail[k] += took
+            if took < times:
+                kept.append((filling, times - took))
+            left -= took
+        # a share of what is left, so that a small tail that cannot be bettered leaves steps for a larger one
+        mine = [budget[0] if want == n else budget[0] // 2 + 1]
+        before = mine[0]
+        found = branch(tail, capacity, want - 1, mine)
+        budget[0] -= before - max(0, mine[0])
+        if found is not None:
+            fills, n = kept + _grouped(found), n - 1
+        elif want == n or opened > MOST_OPENED:
+            break
+        else:
+            opened *= 2
+    return fills
+
+
+def fillings(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = SEARCH_STEPS, branch_steps: int = BRANCH_STEPS) -> list[tuple[tuple[int, ...], int]]:
+    """[(lengths of a sequence, times)] for all pieces of the histogram."""
+    best = min((_fill(histogram, capacity, s) for s in (steps, 0)), key=lambda f: sum(t for _, t in f))
+    return _better(best, capacity, lower_bound(histogram, capacity), branch_steps)
 
 
 def _fill(histogram: dict[int, int], capacity: int, steps: int) -> list[tuple[tuple[int, ...], int]]:
