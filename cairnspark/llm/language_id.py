@@ -9,20 +9,21 @@ of exponential losses of the margins against its bits, each weighted by how
 well that column's classifier does on that language in training.  The nearest
 codeword wins; if the second is within ``ambiguity`` the text is flagged.
 
-Training takes at most about ``per_language`` texts of each language outside
-the held-out fold, drawn by hash; only their trigram vectors reach the driver.
-Prediction is one pass over all rows.
+Training takes at most about ``per_language`` different texts of each language
+outside the held-out fold, drawn by a hash of the text, of the ``max_languages``
+languages that most rows have (of equal ones the first by code point); only
+their trigram vectors reach the driver.  Prediction is one pass over all rows.
 
-Defined cases.  Null text and text without a letter are ``und`` with score 0.
+Defined cases.  Null text and text without a letter (a character of Unicode's
+letter categories) are ``und`` with score 0.
 If nothing can be learnt from, all are ``und``; if there is one language, all
 with letters are that.  Null identifiers count as held out.  Repeated rows get
-equal predictions, an empty table an empty result.  Very long texts are read in
+equal predictions and are one text in training.  An empty table gives an empty result.  Very long texts are read in
 blocks, whole.  Extra columns are never looked at.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,11 +37,10 @@ from .sampling import draw, fold
 
 DIM_BITS = 11
 DIM = 1 << DIM_BITS
-PER_LANGUAGE = 800
+PER_LANGUAGE, MAX_LANGUAGES = 800, 60
 EPOCHS = 120
 AMBIGUITY = 0.05
 UND = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 # letters and bytes of other scripts stay, all else is a space
 _KEEP = np.array([c if c >= 128 or chr(c).isalpha() else 32 for c in range(256)], dtype=np.uint32)
@@ -114,14 +114,16 @@ def fit(x: np.ndarray, languages: list[str], epochs: int = EPOCHS) -> Model:
     return Model(names, c, w, b, trust / trust.sum(axis=1, keepdims=True))
 
 
-def train(rows: DataFrame, id_col: Column, text_col: Column, lang_col: Column, per_language: int = PER_LANGUAGE) -> Model | None:
+def train(rows: DataFrame, text_col: Column, lang_col: Column, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model | None:
     """``rows``: what may be learnt from.  Null languages are left out."""
-    rows = rows.select(id_col.alias("id"), text_col.alias("text"), lang_col.alias("lang")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
+    rows = rows.select(text_col.alias("text"), lang_col.alias("lang")).where("lang is not null and text is not null")
+    most = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("text").alias("texts")).orderBy(F.col("n").desc(), "lang").limit(max_languages)
+    counts = {r["lang"]: r["texts"] for r in most.collect()}
     if not counts:
         return None
     share = F.create_map(*[F.lit(z) for k, n in sorted(counts.items()) for z in (k, min(1.0, per_language / n))])
-    chosen = rows.where(draw(F.col("id"), 3) < F.element_at(share, F.col("lang"))).select("lang", "text")
+    # by text: copies of one are drawn together, and are one
+    chosen = rows.where(draw(F.col("text"), 3) < F.element_at(share, F.col("lang"))).dropDuplicates(["lang", "text"]).select("lang", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,7 +150,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 b = whole.slice(a, 256)
                 texts = [t.as_py() or "" for t in b.column(1)]
                 lang, score, doubt = [UND] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-                at = [k for k, t in enumerate(texts) if LETTER.search(t)] if model else []
+                at = [k for k, t in enumerate(texts) if any(map(str.isalpha, t))] if model else []
                 if at:
                     k, s, d = model.predict(np.stack([trigrams(texts[i]) for i in at]), ambiguity)
                     score[at], doubt[at] = s, d
@@ -161,6 +163,6 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = train(docs.where(fold(F.col("doc_id")) != 0), F.col("doc_id"), F.col("text"), F.col("lang"))
+    model = train(docs.where(fold(F.col("doc_id")) != 0), F.col("text"), F.col("lang"))
     out = predict(docs, model)
     return out.select(F.col("id").alias("doc_id"), (fold(F.col("id")) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")

@@ -13,9 +13,9 @@ def fold(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def draw(id_col: Column, salt: int) -> Column:
-    """A number in [0, 1) from identifier and salt."""
-    return F.pmod(F.xxhash64(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(salt)), F.lit(1 << 30)).cast("double") / float(1 << 30)
+def draw(key: Column, salt: int) -> Column:
+    """A number in [0, 1) from a key (an identifier, a text) and salt."""
+    return F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit("")), F.lit(salt)), F.lit(1 << 30)).cast("double") / float(1 << 30)
 
 
 def bounded(df: DataFrame, id_col: Column, bound: int, total: int, salt: int = 1) -> DataFrame:

@@ -6,7 +6,7 @@ folder, and reports file, offset and length of each.  A file's name carries the
 task attempt; what a lost attempt has left behind is in no report.
 
 *Revisits.*  Pages with equal payloads (SHA-1 and SHA-256 of the whole payload)
-are one group.  The page with the largest identifier is a response, the others
+are one group; digests are grouped, payloads stay where they are.  The page with the largest identifier is a response, the others
 are revisit records that refer to it.  Payloads below ``min_revisit_bytes``
 are always responses.
 
@@ -16,7 +16,10 @@ First level: for each file, the first line of every block with the block's
 place (the sparse directory, kept beside the blocks).  Second level: one row
 per file with its first line.  ``lookup`` searches the files' first lines, then
 one directory, by bisection, reads one block by its byte range and bisects it;
-queries are sorted, so that neighbours share what was read last.
+queries are sorted, so that neighbours share what was read last.  Equal queries
+are one, with a number of captures to take; beyond ``EQUAL_QUERIES`` they are
+parted, and each part goes straight to its first line, as all blocks but a
+file's last have the same number of lines.
 
 *Reading.*  Captures found are sorted by archive and offset and read by byte
 range; payload digests are verified.
@@ -45,12 +48,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, quoted, scratch_path, staged, table
+from .common import fresh, map_arrow, quoted, scratch_path, staged, table, tagged
 
 DATE = "2024-01-01T00:00:00Z"
 ARCHIVE_BYTES = 256 << 20
 BLOCK_LINES = 1000
 MIN_REVISIT_BYTES = 0
+#: So many equal queries are answered in one go.
+EQUAL_QUERIES = 10_000
 
 LINE = "url_key string, page_id long, file string, offset long, length long"
 
@@ -101,13 +106,17 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
 
 
 def _grouped(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_revisit_bytes: int) -> DataFrame:
-    """page_id, url, html, response_id, revisit."""
+    """page_id, url, url_key, html, response_id, revisit."""
+    tag = fresh("wc_tag", pages.columns)
+    rows = tagged(pages, tag)
     payload = F.coalesce(quoted(html_col), F.lit("")).cast("binary")
-    rows = pages.select(quoted(id_col).cast("long").alias("page_id"), quoted(url_col).alias("url"), payload.alias("html"))
-    rows = rows.withColumns({"sha1": F.sha1("html"), "sha2": F.sha2("html", 256)})
-    groups = rows.groupBy("sha1", "sha2").agg(F.max("page_id").alias("response_id"))
-    revisit = ~F.col("page_id").eqNullSafe(F.col("response_id")) & (F.octet_length("html") >= min_revisit_bytes)
-    return rows.join(groups, ["sha1", "sha2"]).select("page_id", "url", url_key(F.col("url")).alias("url_key"), "html", "response_id", revisit.alias("revisit"))
+    digests = staged(rows.select(quoted(tag).alias("tag"), quoted(id_col).cast("long").alias("page_id"), F.octet_length(payload).alias("bytes"), F.sha1(payload).alias("sha1"), F.sha2(payload, 256).alias("sha2")), "warc-digests")
+    groups = staged(digests.groupBy("sha1", "sha2").agg(F.max("page_id").alias("response_id")), "warc-groups")
+    revisit = ~F.col("page_id").eqNullSafe(F.col("response_id")) & (F.col("bytes") >= min_revisit_bytes)
+    # written, so that its size is known: where it is small, no payload is shuffled to meet it
+    decided = staged(digests.join(groups, ["sha1", "sha2"]).select("tag", "response_id", revisit.alias("revisit")), "warc-decided")
+    own = rows.select(quoted(tag).alias("tag"), quoted(id_col).cast("long").alias("page_id"), quoted(url_col).alias("url"), payload.alias("html"))
+    return own.join(decided, "tag").select("page_id", "url", url_key(F.col("url")).alias("url_key"), "html", "response_id", "revisit")
 
 
 def write_archives(pages: DataFrame, base: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", archive_bytes: int = ARCHIVE_BYTES, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -150,13 +159,13 @@ def _place(key: str, page_id: int | None) -> tuple[bytes, int]:
 
 
 class CaptureIndex:
-    """The two-level index below ``base``; ``files``: one row per index file (file, first_key, first_page)."""
+    """The two-level index below ``base``; ``files``: one row per index file (file, first_key, first_page, lines)."""
 
-    def __init__(self, spark: SparkSession, base: str, files: DataFrame):
-        self.spark, self.base = spark, base
+    def __init__(self, spark: SparkSession, base: str, files: DataFrame, block_lines: int = BLOCK_LINES):
+        self.spark, self.base, self.block_lines = spark, base, block_lines
         # one row for each partition of the sorted captures, however many lines these hold
         rows = files.collect()
-        self.files = sorted((_place(r["first_key"], r["first_page"]), r["file"]) for r in rows)
+        self.files = sorted((_place(r["first_key"], r["first_page"]), r["file"], r["lines"]) for r in rows)
 
     @classmethod
     def build(cls, captures: DataFrame, base: str, block_lines: int = BLOCK_LINES) -> CaptureIndex:
@@ -168,16 +177,16 @@ class CaptureIndex:
             fs, root = pafs.FileSystem.from_uri(base)
             fs.create_dir(root, recursive=True)
             task = TaskContext.get()
-            name, out, directory, lines, at = f"{task.partitionId():06d}-{task.taskAttemptId()}", None, [], [], 0
+            name, out, directory, lines, at, n = f"{task.partitionId():06d}-{task.taskAttemptId()}", None, [], [], 0, 0
 
             def flush() -> None:
-                nonlocal out, at, lines
+                nonlocal out, at, lines, n
                 if lines:
                     if out is None:
                         out = fs.open_output_stream(f"{root}/{name}.cdx.gz", compression=None)
                     size = out.write(gzip.compress("\n".join(map(json.dumps, lines)).encode(), 6, mtime=0))
                     directory.append([*lines[0][:2], at, size])
-                    at, lines = at + size, []
+                    at, n, lines = at + size, n + len(lines), []
 
             for b in batches:
                 for line in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -189,19 +198,19 @@ class CaptureIndex:
                 out.close()
                 with fs.open_output_stream(f"{root}/{name}.dir", compression=None) as f:
                     f.write(zlib.compress(json.dumps(directory).encode()))
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([directory[0][0]], pa.string()), pa.array([directory[0][1]], pa.int64())], ["file", "first_key", "first_page"])
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([directory[0][0]], pa.string()), pa.array([directory[0][1]], pa.int64()), pa.array([n], pa.int64())], ["file", "first_key", "first_page", "lines"])
 
         dealt = captures.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        files = staged(map_arrow(dealt, write, "file string, first_key string, first_page long"), "warc-index-files")
-        return cls(spark, base, files)
+        files = staged(map_arrow(dealt, write, "file string, first_key string, first_page long, lines long"), "warc-index-files")
+        return cls(spark, base, files, block_lines)
 
     def lookup(self, queries: DataFrame) -> DataFrame:
         """queries: url_key, page_id.  A row for each query and its capture: url_key, page_id, file, offset, length.  Queries without a capture give no row; the k-th of equal queries takes the k-th of equal captures."""
-        base, files = self.base, self.spark.sparkContext.broadcast(self.files)
+        base, files, block_lines = self.base, self.spark.sparkContext.broadcast(self.files), self.block_lines
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fs, root = pafs.FileSystem.from_uri(base)
-            firsts = [x for x, _ in files.value]
+            firsts = [f[0] for f in files.value]
             opened: dict = {"file": -1, "block": None, "directory": [], "places": [], "lines": []}
 
             def open_file(k: int) -> None:
@@ -220,9 +229,9 @@ class CaptureIndex:
                     opened.update(block=b, lines=lines, at=[_place(*x[:2]) for x in lines])
                 return opened["at"]
 
-            def find(place: tuple[bytes, int], skip: int) -> list | None:
-                """The line with that place, ``skip`` lines after the first of its kind."""
-                # the first line of the place may be in the block before the one that begins with it
+            def first(place: tuple[bytes, int]) -> tuple[int, int] | None:
+                """File and line number of the first line with that place."""
+                # it may be in the block, and the file, before the one that begins with it
                 k = max(0, bisect_left(firsts, place) - 1)
                 while k < len(firsts):
                     open_file(k)
@@ -230,33 +239,49 @@ class CaptureIndex:
                     while b < len(opened["places"]):
                         at = open_block(k, b)
                         i = bisect_left(at, place)
-                        n = bisect_right(at, place) - i
-                        if skip < n:
-                            return opened["lines"][i + skip]
-                        skip -= n
-                        if i + n < len(at):
-                            return None
+                        if i < len(at):
+                            return (k, b * block_lines + i) if at[i] == place else None
                         b += 1
                     k += 1
                 return None
 
-            last, times = None, 0
-            for b in batches:
+            def captures(place: tuple[bytes, int], skip: int, most: int) -> Iterator[list]:
+                """Up to ``most`` lines with that place, after the first ``skip`` of them."""
+                if (at := first(place)) is None:
+                    return
+                k, n = at[0], at[1] + skip
+                while most and k < len(firsts):
+                    if n >= files.value[k][2]:
+                        k, n = k + 1, n - files.value[k][2]
+                        continue
+                    places, i = open_block(k, n // block_lines), n % block_lines
+                    z = min(bisect_right(places, place), i + most)
+                    if z <= i:
+                        return
+                    yield from opened["lines"][i:z]
+                    n, most = n + z - i, most - (z - i)
+
+            def rows(found: list) -> pa.RecordBatch:
+                kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+                return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], ["url_key", "page_id", "file", "offset", "length"])
+
+            for b in batches if firsts else ():
                 found = []
-                for key, page_id in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    place = _place(key, page_id)
-                    times = times + 1 if place == last else 0
-                    last = place
-                    if firsts and (line := find(place, times)):
+                for key, page_id, skip, most in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    for line in captures(_place(key, page_id), skip, most):
                         found.append(line)
+                        if len(found) == EQUAL_QUERIES:
+                            yield rows(found)
+                            found = []
                 if found:
-                    cols = list(zip(*found, strict=True))
-                    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], ["url_key", "page_id", "file", "offset", "length"])
+                    yield rows(found)
 
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        order = [F.col("url_key").asc(), F.col("page_id").asc_nulls_first()]
-        return map_arrow(queries.select("url_key", "page_id").repartitionByRange(n, *order).sortWithinPartitions(*order), search, LINE)
+        once = queries.groupBy("url_key", "page_id").agg(F.count(F.lit(1)).alias("n"))
+        parts = once.withColumn("skip", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(EQUAL_QUERIES).cast("long"))))
+        parts = parts.select("url_key", "page_id", "skip", F.least(F.col("n") - F.col("skip"), F.lit(EQUAL_QUERIES)).alias("most"))
+        order = [F.col("url_key").asc(), F.col("page_id").asc_nulls_first(), F.col("skip").asc()]
+        return map_arrow(parts.repartitionByRange(n, *order).sortWithinPartitions(*order), search, LINE)
 
 
 def read_records(captures: DataFrame, base: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import time
 from collections import Counter
 
 import pytest
@@ -95,3 +96,16 @@ def test_damage_is_noticed():
     assert (headers["WARC-Type"], payload, size) == ("response", b"payload", 7)
     with pytest.raises(ValueError):
         W.parse(data[:-6])
+
+
+def test_very_many_equal_rows(spark, monkeypatch):
+    """Rows that are equal in everything, with neither identifier nor URL: as many captures, in time that grows with them."""
+    base = scratch_path(spark, "warc-test")
+    n = 100_000
+    captures = spark.range(n).select(F.lit("").alias("url_key"), F.lit(None).cast("long").alias("page_id"), F.lit("f").alias("file"), F.col("id").alias("offset"), F.lit(1).cast("long").alias("length"))
+    index = W.CaptureIndex.build(captures, base)
+    began = time.time()
+    got = index.lookup(captures.select("url_key", "page_id"))
+    assert got.select("offset").distinct().count() == n and time.time() - began < 30
+    pages = spark.range(3000).select(F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("string").alias("url"), (F.col("id") % 2).cast("string").alias("html"))
+    assert run(pages) == brute([tuple(r) for r in pages.collect()])
