@@ -37,5 +37,5 @@ def resolved(rows: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     """
     for c in columns:
         one = labels.select(F.col("qid").alias("__label_key"), F.col("label").alias("__label"))
-        rows = rows.join(one, F.col(c) == F.col("__label_key"), "left").withColumn(c, F.coalesce("__label", F.lit(""))).drop("__label_key", "__label")
+        rows = rows.join(one, F.nullif(F.col(c), F.lit("")) == F.col("__label_key"), "left").withColumn(c, F.coalesce("__label", F.lit(""))).drop("__label_key", "__label")
     return rows

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import assemble, entities, extents, inlinks, labels, pages, views
 from ..sources.elevation import Sampler, sample_elevations
+from ..staging import written
 
 
 @dataclass
@@ -33,7 +34,8 @@ def build(inputs: Inputs) -> DataFrame:
     own = placed.join(pages.articles(inputs.pages), "page_id")
     # labels are looked up once it is known which pages stay
     own = labels.resolved(own, inputs.labels, "instance_of", "country")
-    own = own.join(pages.place_types(inputs.geo_tags), "page_id", "left")
+    # links, views, sizes and elevations all ask for these pages: written once, so that no dump is parsed again for each
+    own = written(own.join(pages.place_types(inputs.geo_tags), "page_id", "left"), "pages")
     own = inlinks.with_inlinks(own, inlinks.inlink_counts(inputs.page_links, inputs.link_targets, own))
     if inputs.views is not None:
         own = own.join(views.median_views(inputs.views, own.select("page_id", "title")).withColumnRenamed("views", "pageviews_month"), "page_id", "left")

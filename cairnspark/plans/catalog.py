@@ -7,10 +7,13 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import display, geo, months, titles
-from ..operators import entities, extents, inlinks, labels, pages, views
-from ..sinks import files
-from ..sources import insert_dump, links, pageviews
+from ..functions import display, geo, months, rdf, titles
+from ..operators import assemble, entities, extents, inlinks, labels, pages, views
+from ..sinks import files, geoparquet
+from ..sources import caches, elevation, footers, insert_dump, links, osm_tsv, pageviews, triples
+from ..sources import labels as label_source
+from ..staging import shared_path
+from . import build as building
 from . import checks, reports, serve
 from . import stand_in as S
 
@@ -164,17 +167,24 @@ def geojson_features(spark, sf_dir):
 # ── entities, pages, labels ─────────────────────────────────────
 
 @query("""
-SELECT user_id, arg_min(value, event_id) FILTER (event_type = 'view') AS first_view, arg_min(value, event_id) FILTER (event_type = 'click') AS first_click,
-       arg_max(value, event_id) FILTER (event_type = 'signup') AS last_signup, arg_max(value, event_id) FILTER (event_type = 'error') AS last_error
-FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase') > 0
+SELECT user_id::BIGINT AS user_id, arg_min(cents, event_id) FILTER (event_type = 'view') AS first_view, arg_min(cents, event_id) FILTER (event_type = 'click') AS first_click,
+       arg_max(cents, event_id) FILTER (event_type = 'signup') AS last_signup, arg_max(cents, event_id) FILTER (event_type = 'error') AS last_error,
+       2.5::DOUBLE AS lat, 1.5::DOUBLE AS lon
+FROM (SELECT *, round(value * 100)::BIGINT AS cents FROM events) GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase') > 0
 """)
 def entity_pivot(spark, sf_dir):
-    v, seq, of = F.col("value"), F.col("event_id"), lambda t: F.col("event_type") == t
+    """Events as triples: a view is a class, a click a country, a signup a population, an error a gazetteer number, a purchase a place."""
     e = table(spark, sf_dir, "events")
-    placed = e.where(of("purchase")).select("user_id").distinct()
-    return e.join(placed, "user_id", "left_semi").groupBy("user_id").agg(
-        entities.first(v, seq, of("view")).alias("first_view"), entities.first(v, seq, of("click")).alias("first_click"),
-        entities.last(v, seq, of("signup")).alias("last_signup"), entities.last(v, seq, of("error")).alias("last_error"),
+    cents = F.round(F.col("value") * 100).cast("long").cast("string")
+    of = {"view": (rdf.INSTANCE_OF, "<http://www.wikidata.org/entity/Q", ">"), "click": (rdf.COUNTRY, "<http://www.wikidata.org/entity/Q", ">"), "signup": (rdf.POPULATION, '"+', '"'), "error": (rdf.GEONAMES, '"', '"')}
+    prop = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(p)) for t, (p, _, _) in of.items()], F.lit(rdf.POINT))
+    value = F.coalesce(*[F.when(F.col("event_type") == t, F.concat(F.lit(a), cents, F.lit(z))) for t, (_, a, z) in of.items()], F.lit('"Point(1.5 2.5)"'))
+    wanted = e.where(F.col("event_type").isin(*of, "purchase"))
+    made = entities.entities(wanted.select(F.col("event_id").alias("seq"), F.concat(F.lit("Q"), "user_id").alias("qid"), prop.alias("prop"), value.alias("value")))
+    number = lambda c: F.nullif(F.regexp_extract(c, r"(\d+)", 1), F.lit("")).cast("long")
+    return made.select(
+        F.expr("bigint(substr(qid, 2))").alias("user_id"), number("instance_of_qid").alias("first_view"), number("country").alias("first_click"),
+        F.col("population").alias("last_signup"), number("geonames_id").alias("last_error"), "lat", "lon",
     )
 
 
@@ -392,7 +402,15 @@ def inlink_tiers(spark, sf_dir):
     return checks.tiers(S.frame(spark, sf_dir, S.POINTS))
 
 
-BOUNDS = checks.Bounds(rows=(1000, 10_000_000), known_elevation={}, known_views={}, known_extent={})
+BOUNDS = checks.Bounds(rows=(1000, 10_000_000))
+
+
+def _known_sql(values: dict, column: str, missing: str) -> str:
+    """A named article's value within its range."""
+    return ",\n".join(f"  ('{label}: {column} within {low:g} to {high:g}', coalesce((SELECT max({column}) BETWEEN {low} AND {high} FROM a WHERE label = '{label}'), {missing}))" for label, (low, high) in values.items())
+
+
+KNOWN = ",\n".join([_known_sql(BOUNDS.known_views, "pageviews_month", "false"), _known_sql(BOUNDS.known_extent, "extent_km", "true"), _known_sql(BOUNDS.known_elevation, "elevation", "true")])
 
 
 @query(f"""
@@ -416,7 +434,8 @@ SELECT * FROM (VALUES
   ('enough articles have views', (SELECT count(pageviews_month) > max(n) * 0.5 FROM a, n)),
   ('some articles have no views', (SELECT count(pageviews_month) < max(n) FROM a, n)),
   ('extent, area and source agree', NOT EXISTS (SELECT 1 FROM a WHERE (extent_km IS NULL) <> (osm_source IS NULL) OR (area_km2 IS NOT NULL AND extent_km IS NULL))),
-  ('extent and area are plausible', NOT EXISTS (SELECT 1 FROM a WHERE extent_km <= 0 OR extent_km > 20000 OR area_km2 <= 0))
+  ('extent and area are plausible', NOT EXISTS (SELECT 1 FROM a WHERE extent_km <= 0 OR extent_km > 20000 OR area_km2 <= 0)),
+{KNOWN}
 ) v(name, passed)
 """)
 def consistency_checks(spark, sf_dir):
@@ -492,3 +511,311 @@ SELECT strftime(DATE '2026-10-01' - to_months(b::INT), '%Y-%m') AS month, b::INT
 """)
 def recent_months(spark, sf_dir):
     return months.months_before(spark, 12, datetime.date(2026, 10, 17))
+
+
+@query("SELECT strftime(DATE '2026-10-01' - to_months(b::INT), '%Y-%m') AS month, b::INT AS back FROM range(0, 5) r(b)")
+def months_to_now(spark, sf_dir):
+    return months.months_before(spark, 5, datetime.date(2026, 10, 17), current=True)
+
+
+# ── triples and literals ────────────────────────────────────────
+
+WIKIDATA = "http://www.wikidata.org"
+
+
+def _triple_lines(spark, sf_dir) -> DataFrame:
+    """seq, value: eight properties of every customer, one that is not wanted, and a line that is no triple."""
+    s = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    globe = F.when(k % 11 == 0, "<http://www.wikidata.org/entity/Q405> ").when(k % 11 == 1, "<http://www.wikidata.org/entity/Q2> ").otherwise("")
+    point = s('"', globe, "Point(", k % 400 - 200, " ", k % 90, '.25)"^^<http://www.opengis.net/ont/geosparql#wktLiteral>')
+    values = [
+        ("P625", point), ("P31", s(f"<{WIKIDATA}/entity/Q", n, ">")), ("P17", F.when(k % 5 == 0, F.lit("_:blank")).otherwise(s(f"<{WIKIDATA}/entity/Q", n + 100, ">"))),
+        ("P1082", s('"+', k * 3, '"^^<http://www.w3.org/2001/XMLSchema#decimal>')), ("P1566", s('"', k, '"')), ("P402", F.when(k % 3 == 0, F.lit('"none"')).otherwise(s('"', k * 7, '"'))),
+        ("P18", s("<http://commons.example/", k, ".jpg>")), ("P6802", s("<https://commons.example/", k, "-b.jpg>")), ("P569", s('"', k, '"')),
+    ]
+    rows = F.array(*[F.struct(F.lit(p).alias("p"), v.alias("v")) for p, v in values], F.struct(F.lit("").alias("p"), F.lit("# no triple").alias("v")))
+    c = table(spark, sf_dir, "customer").select(k, F.posexplode(rows).alias("i", "r"))
+    line = F.when(F.col("r.p") == "", F.col("r.v")).otherwise(s(f"<{WIKIDATA}/entity/Q", k, f"> <{WIKIDATA}/prop/direct/", F.col("r.p"), "> ", F.col("r.v"), " ."))
+    return c.select((k * 10 + F.col("i")).alias("seq"), line.alias("value"))
+
+
+TRIPLE_VALUES = """
+SELECT c_custkey AS k, c_nationkey AS n, c_custkey % 400 - 200 AS lon0, (c_custkey % 90) AS lat0, c_custkey % 11 <> 0 AND abs(c_custkey % 400 - 200) <= 180 AS placed FROM customer
+"""
+
+
+@query("""
+SELECT 'Q' || c_custkey AS qid, p AS prop, count(*) AS n, max(c_custkey * 10 + i)::BIGINT AS last_seq
+FROM customer, (VALUES ('P625', 0), ('P31', 1), ('P17', 2), ('P1082', 3), ('P1566', 4), ('P402', 5), ('P18', 6), ('P6802', 7)) v(p, i) GROUP BY ALL
+""")
+def triples_parse(spark, sf_dir):
+    return triples.triples(_triple_lines(spark, sf_dir)).groupBy("qid", "prop").agg(F.count(F.lit(1)).alias("n"), F.max("seq").cast("long").alias("last_seq"))
+
+
+@query(f"""
+SELECT 'Q' || k AS subject, CASE WHEN placed THEN lat0 + 0.25::DOUBLE END AS lat, CASE WHEN placed THEN lon0::DOUBLE END AS lon, 'Q' || n AS class,
+       CASE WHEN k % 5 <> 0 THEN 'Q' || (n + 100) END AS country, (k * 3)::BIGINT AS population, k::VARCHAR AS geonames,
+       CASE WHEN k % 3 <> 0 THEN (k * 7)::BIGINT END AS relation, 'https://commons.example/' || k || '.jpg' AS image
+FROM ({TRIPLE_VALUES})
+""")
+def rdf_literals(spark, sf_dir):
+    t, v = triples.triples(_triple_lines(spark, sf_dir)), F.col("value")
+    of = lambda p, c: F.max(F.when(F.col("prop") == p, c))
+    wide = t.groupBy("qid").agg(
+        of(rdf.POINT, rdf.point(v)).alias("place"), of(rdf.INSTANCE_OF, rdf.entity(v)).alias("class"), of(rdf.COUNTRY, rdf.entity(v)).alias("country"), of(rdf.POPULATION, rdf.whole_number(v)).alias("population"),
+        of(rdf.GEONAMES, rdf.quoted_text(v)).alias("geonames"), of(rdf.OSM_RELATION, rdf.digits(v)).alias("relation"), of(rdf.IMAGE, rdf.secure_uri(v)).alias("image"),
+    )
+    return wide.select(F.col("qid").alias("subject"), "place.lat", "place.lon", "class", "country", "population", "geonames", "relation", "image")
+
+
+@query(f"""
+SELECT 'Q' || k AS qid, lat0 + 0.25::DOUBLE AS lat, lon0::DOUBLE AS lon, 'Q' || n AS instance_of, 'Q' || n AS instance_of_qid, CASE WHEN k % 5 <> 0 THEN 'Q' || (n + 100) ELSE '' END AS country,
+       (k * 3)::BIGINT AS population, k::VARCHAR AS geonames_id, CASE WHEN k % 3 <> 0 THEN (k * 7)::BIGINT END AS osm_relation, 'https://commons.example/' || k || '.jpg' AS p18_image,
+       'https://commons.example/' || k || '-b.jpg' AS related
+FROM ({TRIPLE_VALUES}) WHERE placed
+""")
+def entity_table(spark, sf_dir):
+    made = entities.entities(triples.triples(_triple_lines(spark, sf_dir)))
+    return made.withColumn("related", F.array_join("related_images", "|")).drop("related_images")
+
+
+# ── link tables, map features, labels ───────────────────────────
+
+@query("SELECT l_partkey::BIGINT AS target_id, count(*) AS n FROM lineitem WHERE l_linenumber % 3 <> 0 GROUP BY 1")
+def page_link_targets(spark, sf_dir):
+    one = F.concat(F.lit("("), F.col("l_orderkey"), F.lit(","), F.when(F.col("l_linenumber") % 3 == 0, "2").otherwise("0"), F.lit(","), F.col("l_partkey"), F.lit(")"))
+    lines = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 64).alias("g")).agg(F.concat(F.lit("INSERT INTO `pagelinks` VALUES "), F.array_join(F.collect_list(one), ","), F.lit(";")).alias("value"))
+    return links.page_links(lines).groupBy("target_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _feature_lines(spark, sf_dir) -> DataFrame:
+    """value: a header, and a line for each part; some of other objects, without an envelope, or too short."""
+    s = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    k, size = F.col("p_partkey"), F.col("p_size")
+    kind = F.when(k % 7 == 0, "node").when(k % 2 == 0, "way").otherwise("relation")
+    wiki = F.when(k % 4 == 0, s("<https://en.wikipedia.org/wiki/Lake%20", k, ">")).when(k % 4 == 1, s('"de:see ', k, '"')).otherwise(F.lit(""))
+    west = F.when(k % 13 == 0, F.lit(-179)).otherwise(size - 25)
+    east = F.when(k % 13 == 0, F.lit(179)).otherwise(size - 24)
+    box = F.when(k % 9 == 0, F.lit("")).otherwise(s('"POLYGON((', west, " ", size, ".5,", east, " ", size, ".5,", east, " ", size + 2, ".5))", '"^^<http://www.opengis.net/ont/geosparql#wktLiteral>'))
+    area = F.when(k % 5 == 0, F.lit('"0"')).when(k % 5 == 1, F.lit('"x"')).otherwise(s('"', size * 1000000, '"^^<http://www.w3.org/2001/XMLSchema#double>'))
+    entity = F.when(k % 3 == 0, F.lit("")).otherwise(s(f"<{WIKIDATA}/entity/Q", k, ">"))
+    full = F.concat_ws("\t", s("<https://www.openstreetmap.org/", kind, "/", k, ">"), entity, wiki, box, area)
+    return table(spark, sf_dir, "part").select(F.when(k % 17 == 0, s("<https://www.openstreetmap.org/way/", k, ">\tQ1")).otherwise(full).alias("value"))
+
+
+@query("""
+SELECT osm_type, p_partkey::BIGINT AS osm_id, CASE WHEN p_partkey % 3 <> 0 THEN 'Q' || p_partkey END AS qid,
+       CASE p_partkey % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'de' END AS wiki_lang, CASE p_partkey % 4 WHEN 0 THEN 'Lake_' || p_partkey WHEN 1 THEN 'See_' || p_partkey END AS wiki_title,
+       xmin, ymin, xmax, ymax, xmax - xmin > 180 AS antimeridian,
+       CASE WHEN xmax - xmin <= 180 THEN round(greatest((xmax - xmin) * 111.32::DOUBLE * cos(radians((ymin + ymax) / 2)), (ymax - ymin) * 110.57::DOUBLE), 3) END AS extent_km,
+       CASE WHEN p_partkey % 5 > 1 THEN p_size::DOUBLE END AS area_km2
+FROM (
+  SELECT *, CASE WHEN p_partkey % 2 = 0 THEN 'way' ELSE 'relation' END AS osm_type, CASE WHEN p_partkey % 13 = 0 THEN -179 ELSE p_size - 25 END::DOUBLE AS xmin,
+         CASE WHEN p_partkey % 13 = 0 THEN 179 ELSE p_size - 24 END::DOUBLE AS xmax, p_size + 0.5::DOUBLE AS ymin, p_size + 2.5::DOUBLE AS ymax FROM part
+) WHERE p_partkey % 7 <> 0 AND p_partkey % 9 <> 0 AND p_partkey % 17 <> 0
+""")
+def map_features(spark, sf_dir):
+    out = osm_tsv.features(_feature_lines(spark, sf_dir))
+    return out.withColumns({"extent_km": F.round(F.col("extent_km").cast("double"), 3), "area_km2": F.col("area_km2").cast("double")})
+
+
+@query("""
+SELECT p_partkey, w AS xmin, w + (p_partkey % 3) AS xmax, -p_size::DOUBLE AS ymin, p_size / 2.0::DOUBLE AS ymax FROM (SELECT *, -(p_partkey % 50) - 0.5::DOUBLE AS w FROM part) WHERE p_partkey % 10 <> 0
+""")
+def wkt_envelope(spark, sf_dir):
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    west = -(k % 50) - F.lit(0.5)
+    wkt = F.when(k % 10 == 0, "EMPTY 7").otherwise(F.format_string('"LINESTRING(%s %s,%s -%s)"^^<http://www.opengis.net/1.0/4326>', west, F.col("p_size") / F.lit(2.0), west + k % 3, F.col("p_size")))
+    return p.select("p_partkey", geo.envelope(wkt).alias("b")).where("b is not null").select("p_partkey", "b.xmin", "b.xmax", "b.ymin", "b.ymax")
+
+
+@query("SELECT 'Q' || n_nationkey AS qid, n_name AS label FROM nation WHERE n_nationkey % 4 <> 0")
+def label_file(spark, sf_dir):
+    pair = F.concat(F.lit('"'), F.when(F.col("n_nationkey") % 8 == 0, "P").otherwise("Q"), F.col("n_nationkey"), F.lit('": '), F.when(F.col("n_nationkey") % 8 == 4, F.lit("17")).otherwise(F.concat(F.lit('"'), "n_name", F.lit('"'))))
+    text = table(spark, sf_dir, "nation").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(pair), ", "), F.lit("}")).alias("value"))
+    return label_source.parse_labels(text)
+
+
+@query("SELECT 'Q' || c_custkey AS qid, true AS within FROM customer")
+def label_batches(spark, sf_dir):
+    keys = table(spark, sf_dir, "customer").select(F.concat(F.lit("Q"), "c_custkey").alias("qid"))
+    made = label_source.batches(keys)
+    return made.select(F.explode("keys").alias("qid"), (F.size("keys") <= label_source.BATCH).alias("within"))
+
+
+@query("""
+SELECT c_custkey, replace(t, '_', ' ') AS label, 'https://en.wikipedia.org/wiki/' || t AS url, CASE WHEN c_custkey % 2 = 0 THEN 'https://commons.wikimedia.org/wiki/Special:FilePath/' || t WHEN c_custkey % 3 = 0 THEN '' ELSE 'https://x/' || c_custkey END AS image
+FROM (SELECT c_custkey, c_mktsegment || '_' || c_custkey AS t FROM customer)
+""")
+def page_addresses(spark, sf_dir):
+    title = F.concat_ws("_", "c_mktsegment", F.col("c_custkey").cast("string"))
+    own = F.when(F.col("c_custkey") % 2 == 0, F.replace(title, F.lit("_"), F.lit(" "))).otherwise("")
+    other = F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("https://x/"), "c_custkey"))
+    return table(spark, sf_dir, "customer").select("c_custkey", titles.label_of(title).alias("label"), titles.article_url(title).alias("url"), titles.image_url(own, other).alias("image"))
+
+
+# ── geometry, elevation, files ──────────────────────────────────
+
+@query(f"SELECT page_id, lon, lat, 21 AS bytes FROM {P}")
+def wkb_roundtrip(spark, sf_dir):
+    made = S.frame(spark, sf_dir, S.POINTS).select("page_id", geo.wkb_point(F.col("lon"), F.col("lat")).alias("g"))
+    return made.select("page_id", geo.wkb_xy(F.col("g")).alias("p"), F.octet_length("g").alias("bytes")).select("page_id", F.col("p.x").alias("lon"), F.col("p.y").alias("lat"), "bytes")
+
+
+def _height(tile: str, points: list[tuple[float, float]]) -> list[float]:
+    """A raster's stand-in: the south-west corner and the place tell the height; some tiles are not there."""
+    if "_S" in tile:
+        raise OSError("no such tile")
+    return [abs(int(lon)) * 10 + int(lat) + 0.7 for lon, lat in points]
+
+
+@query(f"""
+SELECT page_id, CASE WHEN floor(lat) < 0 THEN 0 ELSE trunc(abs(trunc(CASE WHEN lon = floor(lon) THEN lon + 0.001 ELSE lon END)) * 10 + trunc(CASE WHEN lat = floor(lat) THEN lat + 0.001 ELSE lat END)) END::SMALLINT AS elevation FROM {P}
+""")
+def elevations(spark, sf_dir):
+    return elevation.sample_elevations(S.frame(spark, sf_dir, S.POINTS), _height)
+
+
+def _written_articles(spark, sf_dir) -> tuple[str, list[str]]:
+    """The stand-in's articles as GeoParquet in the shared folder: the folder, its files."""
+    path = shared_path(spark, "articles")
+    made = geoparquet.write_geoparquet(S.articles(spark, sf_dir).withColumn("area_km2", F.col("area_km2").cast("float")).select(*S.ARTICLE_COLUMNS), path, geoparquet.build_metadata(["2026-08", "2026-09"], 2, None), row_group=5000, parts=4)
+    return path, [f"{path}/{r['file']}" for r in made.collect()]
+
+
+@query(f"SELECT page_id, qid, label, inlink_count, extent_km::DOUBLE AS extent_km, lon, lat FROM {A}")
+def geoparquet_roundtrip(spark, sf_dir):
+    back = spark.read.parquet(_written_articles(spark, sf_dir)[0])
+    return back.select("page_id", "qid", "label", "inlink_count", F.col("extent_km").cast("double").alias("extent_km"), geo.wkb_xy(F.col("geometry")).alias("p"), "bbox").select(
+        "page_id", "qid", "label", "inlink_count", "extent_km", F.col("p.x").alias("lon"), F.col("bbox.ymin").alias("lat"),
+    )
+
+
+@query(f"SELECT page_id, label, instance_of, country, inlink_count FROM {A} WHERE lon BETWEEN -60 AND 33 AND lat BETWEEN -20 AND 59.5 ORDER BY inlink_count DESC, page_id LIMIT 20")
+def bbox_topk_of_files(spark, sf_dir):
+    return serve.in_box(spark.read.parquet(_written_articles(spark, sf_dir)[0]), -60, -20, 33, 59.5)
+
+
+@query("""
+SELECT * FROM (VALUES ('geo metadata is there', true), ('primary column is geometry', true), ('geometry is WKB', true), ('bbox covers the geometry', true), ('bbox column is there', true),
+  ('pageviews_month is INT32', true), ('months are on record', true), ('extent_km is FLOAT', true), ('area_km2 is FLOAT', true), ('osm_source is BYTE_ARRAY', true)) v(name, passed)
+""")
+def footer_checks(spark, sf_dir):
+    return checks.file_checks(spark, _written_articles(spark, sf_dir)[1])
+
+
+@query("""
+SELECT * FROM (VALUES ('pageviews_months', '2026-08,2026-09'), ('pageviews_months_wanted', '2'), ('osm_extent_extract', '')) v(key, value)
+""")
+def footer_values(spark, sf_dir):
+    return footers.key_values(spark, _written_articles(spark, sf_dir)[1]).where("key like '%months%' or key = 'osm_extent_extract'").select("key", "value").distinct()
+
+
+@query("""
+SELECT * FROM (VALUES ('page_id', 'INT32'), ('label', 'BYTE_ARRAY'), ('population', 'INT64'), ('extent_km', 'FLOAT'), ('bbox.xmin', 'DOUBLE'), ('elevation', 'INT32')) v(name, type)
+""")
+def footer_columns(spark, sf_dir):
+    return footers.columns(spark, _written_articles(spark, sf_dir)[1]).select("name", "type").distinct().where(F.col("name").isin("page_id", "label", "population", "extent_km", "bbox.xmin", "elevation"))
+
+
+@query("SELECT month, page_id, title, views FROM (SELECT '2026-09' AS month, CASE WHEN user_id % 4 <> 3 THEN user_id::INT END AS page_id, CASE WHEN user_id % 4 = 3 THEN 'p' || user_id END AS title, sum(floor(value))::BIGINT AS views FROM events GROUP BY ALL)")
+def month_read(spark, sf_dir):
+    """A month's file, written sorted, read back in one scan, kept as a cache and read from there."""
+    e, user = table(spark, sf_dir, "events"), F.col("user_id").cast("string")
+    line = F.concat_ws(" ", F.lit("en.wikipedia"), F.concat(F.lit("p"), user), F.when(F.col("user_id") % 4 == 3, "null").otherwise(user), F.lit("desktop"), F.floor("value").cast("string"), F.lit("A1"))
+    others = spark.createDataFrame([("de.wikipedia Z 1 desktop 9 A9",), ("fr.wikipedia A 1 desktop 9 A9",)], "value string")
+    path = shared_path(spark, "month")
+    e.select(line.alias("value")).unionByName(others).orderBy("value").write.text(path)
+    cache = f"{path}-cache"
+    files.write_cache(pageviews.read_month(spark, path, "2026-09"), cache)
+    return caches.read_months(spark, [cache])
+
+
+@query("SELECT 'Q' || c_custkey AS qid, 1.5::DOUBLE AS lat, c_mktsegment AS instance_of, c_mktsegment AS instance_of_qid, '' AS country, NULL::BIGINT AS osm_relation FROM customer")
+def old_entity_cache(spark, sf_dir):
+    old = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("Q"), "c_custkey").alias("qid"), F.lit(1.5).alias("lat"), F.lit(2.5).alias("lon"), F.col("c_mktsegment").alias("instance_of"), F.lit(None).cast("string").alias("country"),
+        F.lit(7).cast("long").alias("population"), F.lit("").alias("geonames_id"), F.lit("").alias("p18_image"), F.lit(None).cast("array<string>").alias("related_images"),
+    )
+    path = shared_path(spark, "entities")
+    files.write_cache(old, path)
+    return caches.read_entities(spark, path).select("qid", "lat", "instance_of", "instance_of_qid", "country", "osm_relation")
+
+
+# ── reports, paging, the build ──────────────────────────────────
+
+REPORT = f"""
+a AS (SELECT page_id, qid, replace(label, ' ', '_') AS title, label, instance_of, inlink_count FROM {A}), f AS ({S.FEATURES}), h AS (
+  SELECT page_id, osm_type, osm_id, extent_km, area_km2 FROM a JOIN f USING (qid) UNION ALL SELECT page_id, osm_type, osm_id, extent_km, area_km2 FROM a JOIN f ON wiki_lang = 'en' AND wiki_title = title
+), b AS (SELECT * FROM h WHERE extent_km > 0 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY extent_km DESC, osm_id, osm_type) = 1),
+v AS ({S.oracle(S.VIEWS)}), t AS (
+  SELECT page_id, month, sum(views) AS views FROM (SELECT a.page_id, month, v.views FROM v JOIN a ON v.page_id = a.page_id UNION ALL SELECT a.page_id, month, v.views FROM v JOIN a ON v.page_id IS NULL AND v.title = a.title) GROUP BY 1, 2
+), m AS (
+  SELECT p.page_id, CAST(round_even(median(coalesce(views, 0)), 0) AS INT) AS views FROM (SELECT DISTINCT page_id FROM t) p CROSS JOIN (SELECT DISTINCT month FROM v) x LEFT JOIN t ON t.page_id = p.page_id AND t.month = x.month GROUP BY p.page_id
+), n AS (
+  SELECT a.page_id, label, coalesce(views, 0) AS rank, inlink_count FROM a LEFT JOIN m USING (page_id) WHERE instance_of IN ('mountain', 'Lake') ORDER BY rank DESC, inlink_count DESC, a.page_id LIMIT 50
+)
+"""
+
+
+def _report(spark, sf_dir) -> dict[str, DataFrame]:
+    return reports.extent_coverage(S.articles(spark, sf_dir), S.frame(spark, sf_dir, S.FEATURES), S.frame(spark, sf_dir, S.VIEWS), 50)
+
+
+@query(f"WITH {REPORT} SELECT n.page_id, label, rank, inlink_count, extent_km::DOUBLE AS extent_km, area_km2::DOUBLE AS area_km2, osm_type || '/' || osm_id AS osm_source FROM n LEFT JOIN b USING (page_id)")
+def natural_extents(spark, sf_dir):
+    return _report(spark, sf_dir)["natural"].withColumns({c: F.col(c).cast("double") for c in ("extent_km", "area_km2")})
+
+
+@query(f"WITH {REPORT} SELECT count(*) AS n, count(extent_km) AS with_extent, count(area_km2) AS with_area FROM n LEFT JOIN b USING (page_id)")
+def natural_summary(spark, sf_dir):
+    return _report(spark, sf_dir)["summary"]
+
+
+@query(f"WITH {REPORT} SELECT label, views FROM a LEFT JOIN m USING (page_id) WHERE label IN ('Mount Rushmore', 'Black Hills')")
+def named_views(spark, sf_dir):
+    return reports.view_coverage(S.articles(spark, sf_dir), S.frame(spark, sf_dir, S.VIEWS))["named"]
+
+
+@query(f"WITH {REPORT} SELECT count(*) AS n, count(views) AS with_views FROM a LEFT JOIN m USING (page_id)")
+def view_report(spark, sf_dir):
+    return reports.view_coverage(S.articles(spark, sf_dir), S.frame(spark, sf_dir, S.VIEWS))["overall"]
+
+
+@query(f"SELECT page_id, label FROM {A} ORDER BY label, page_id LIMIT 25 OFFSET 50")
+def offset_page(spark, sf_dir):
+    return serve.page_of(S.articles(spark, sf_dir), ["label", "page_id"], 25, 50).select("page_id", "label")
+
+
+@query("SELECT count(*) FILTER (passed) AS passed, count(*) FILTER (NOT passed) AS failed FROM (" + SQL["consistency_checks"] + ")")
+def check_tally(spark, sf_dir):
+    return checks.tally(checks.run_checks(S.articles(spark, sf_dir), BOUNDS))
+
+
+@query(f"""
+WITH e AS (SELECT * FROM ({TRIPLE_VALUES}) WHERE placed), p AS (
+  SELECT o_orderkey::INT AS page_id, 'Q' || o_custkey AS qid, 'P_' || o_orderkey AS title, floor(o_totalprice)::INT AS page_len FROM orders WHERE o_orderstatus <> 'P'
+), l AS (SELECT l_orderkey AS page_id, count(*)::INT AS inlink_count FROM lineitem GROUP BY 1), g AS (
+  SELECT l_orderkey AS page_id, arg_min(l_returnflag, l_linenumber) AS gt_type FROM (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY ALL) GROUP BY 1
+)
+SELECT p.page_id, p.qid, replace(title, '_', ' ') AS label, coalesce(n_name, '') AS instance_of, 'Q' || n AS instance_of_qid, coalesce(gt_type, '') AS gt_type, page_len, coalesce(inlink_count, 0) AS inlink_count,
+       lon0::DOUBLE AS lon, lat0 + 0.25::DOUBLE AS lat, 'https://commons.example/' || k || '.jpg' AS image_url, (k * 3)::BIGINT AS population, 7::SMALLINT AS elevation
+FROM p JOIN e ON p.qid = 'Q' || e.k LEFT JOIN nation ON n_nationkey = n AND n_nationkey > 4 LEFT JOIN l USING (page_id) LEFT JOIN g USING (page_id)
+""")
+def built_articles(spark, sf_dir):
+    """The whole build: triples of customers, a page for each order, links and place types of line items."""
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    page = F.col("o_orderkey").cast("int").alias("page_id")
+    title = F.concat(F.lit("P_"), "o_orderkey")
+    types = li.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("gt_type"))
+    inputs = building.Inputs(
+        triples=triples.triples(_triple_lines(spark, sf_dir)),
+        page_props=o.select(page, F.lit(pages.QID).alias("propname"), F.concat(F.lit("Q"), "o_custkey").alias("value"), F.col("o_orderkey").alias("seq")),
+        geo_tags=types.select(F.col("l_orderkey").cast("int").alias("page_id"), F.lit("earth").alias("globe"), F.lit(0).alias("is_primary"), "gt_type", F.col("l_linenumber").alias("seq")),
+        pages=o.select(page, F.lit(0).alias("ns"), title.alias("title"), (F.col("o_orderstatus") == "P").cast("int").alias("is_redirect"), F.floor("o_totalprice").cast("int").alias("page_len")),
+        link_targets=o.select(F.col("o_orderkey").alias("target_id"), title.alias("title")), page_links=li.select(F.col("l_orderkey").alias("target_id")),
+        labels=_nation_labels(spark, sf_dir, 4), views=S.frame(spark, sf_dir, S.VIEWS), features=S.frame(spark, sf_dir, S.FEATURES), sampler=lambda tile, points: [7.9] * len(points),
+    )
+    made = assemble.spatially_sorted(building.build(inputs))
+    return made.select("page_id", "qid", "label", "instance_of", "instance_of_qid", "gt_type", "page_len", "inlink_count", F.col("bbox.xmin").alias("lon"), F.col("bbox.ymin").alias("lat"), "image_url", "population", "elevation")

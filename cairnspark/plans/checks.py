@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,14 +98,24 @@ def missing_labels(articles: DataFrame, expected: DataFrame | None = None) -> Da
 
 
 def file_checks(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """name, passed, of the footers: geo metadata with its primary column, encoding and covering; columns and their types; months on record."""
-    import json
-
-    types = {r["name"]: r["type"] for r in footers.columns(spark, paths[:1]).collect()}
-    values = {r["key"]: r["value"] for r in footers.key_values(spark, paths[:1]).collect()}
+    """name, passed, of the footers of all files: geo metadata with its primary column, encoding and covering; columns and their types; months on record."""
+    types: dict[str, dict] = {p: {} for p in paths}
+    values: dict[str, dict] = {p: {} for p in paths}
+    for r in footers.columns(spark, paths).collect():  # some dozens of rows a file
+        types[r["file"]][r["name"]] = r["type"]
+    for r in footers.key_values(spark, paths).collect():
+        values[r["file"]][r["key"]] = r["value"]
+    passed: dict[str, bool] = {}
+    for p in paths:
+        for name, fine in _footer_checks(types[p], values[p]):
+            passed[name] = passed.get(name, True) and fine
+    return spark.createDataFrame(list(passed.items()), "name string, passed boolean")
+
+
+def _footer_checks(types: dict[str, str], values: dict[str, str]) -> list[tuple[str, bool]]:
     geo = json.loads(values.get("geo", "{}"))
     column = geo.get("columns", {}).get(geo.get("primary_column", ""), {})
-    rows = [
+    return [
         ("geo metadata is there", bool(geo)),
         ("primary column is geometry", geo.get("primary_column") == "geometry"),
         ("geometry is WKB", column.get("encoding") == "WKB"),
@@ -114,7 +125,24 @@ def file_checks(spark: SparkSession, paths: list[str]) -> DataFrame:
         ("months are on record", "pageviews_months" in values),
         *((f"{c} is {t}", types.get(c) == t) for c, t in (("extent_km", "FLOAT"), ("area_km2", "FLOAT"), ("osm_source", "BYTE_ARRAY"))),
     ]
-    return spark.createDataFrame(rows, "name string, passed boolean")
+
+
+class ChecksFailed(ValueError):
+    """Some checks did not pass; the message names them."""
+
+
+def tally(results: DataFrame) -> DataFrame:
+    """passed, failed: how many checks did either.  A null counts as failed."""
+    fine = F.coalesce(F.col("passed"), F.lit(False))
+    return results.agg(F.count_if(fine).alias("passed"), F.count_if(~fine).alias("failed"))
+
+
+def require(results: DataFrame) -> int:
+    """The number of checks that passed; ChecksFailed if any did not."""
+    rows = results.collect()  # one row a check
+    if failed := [r["name"] for r in rows if not r["passed"]]:
+        raise ChecksFailed(f"{len(failed)} of {len(rows)}: " + "; ".join(failed))
+    return len(rows)
 
 
 def breakdown(df: DataFrame, column: str, k: int) -> DataFrame:

@@ -54,4 +54,4 @@ def view_coverage(articles: DataFrame, views: DataFrame, labels: tuple[str, ...]
     pages = articles.select("page_id", title_of(F.col("label")).alias("title"), "label")
     median = median_views(views, pages)
     joined = pages.join(median, "page_id", "left")
-    return {"overall": joined.agg(F.count(F.lit(1)).alias("n"), F.count("views").alias("with_views")), "named": joined.where(F.col("label").isin(labels)).select("label", "views")}
+    return {"overall": joined.agg(F.count(F.lit(1)).alias("n"), F.count("views").alias("with_views")), "named": joined.where(F.col("label").isin(*labels)).select("label", "views")}

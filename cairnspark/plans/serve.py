@@ -35,6 +35,11 @@ def begins_with(index: DataFrame, text: str, k: int = 8) -> DataFrame:
     return index.where(F.col("label").startswith(text.lower())).orderBy(F.col("inlink_count").desc(), F.col("label").asc(), F.col("lon").asc()).limit(k).select("label", "lon", "lat")
 
 
+def page_of(rows: DataFrame, order: list, size: int, offset: int) -> DataFrame:
+    """``size`` rows from place ``offset`` (0 is the first) in a total order."""
+    return rows.orderBy(*order).offset(offset).limit(size)
+
+
 def details(articles: DataFrame, page_id: int) -> DataFrame:
     """What a popup shows of a page."""
     columns = ("description", "image_url", "gt_type", "page_len", "elevation", "instance_of", "country", "population")

@@ -19,7 +19,9 @@ FROM orders
 """
 
 ARTICLES = """
-SELECT page_id, concat('Q', custkey) AS qid, concat(replace(c_name, '#', ' '), ' ', page_id) AS label, description, instance_of,
+SELECT page_id, concat('Q', custkey) AS qid,
+       CASE page_id WHEN 5 THEN 'Machu Picchu' WHEN 6 THEN 'Mount Rushmore' WHEN 7 THEN 'Lake Superior' WHEN 33 THEN 'Black Hills'
+            ELSE concat(replace(c_name, '#', ' '), ' ', page_id) END AS label, description, instance_of,
        CASE WHEN instance_of = '' THEN '' ELSE concat('Q', page_id % 5) END AS instance_of_qid,
        CASE WHEN page_id % 7 = 0 THEN '' ELSE n_name END AS country,
        CASE WHEN page_id % 3 = 0 THEN NULL ELSE CAST(floor(price) AS BIGINT) * 10 END AS population,
@@ -59,6 +61,11 @@ FROM events
 
 VIEW_PAGES = "SELECT CAST(c_custkey AS INT) AS page_id, concat('user_', c_custkey) AS title FROM customer"
 
+#: What is written of the stand-in's articles.
+ARTICLE_COLUMNS = (
+    "geometry", "page_id", "qid", "label", "instance_of", "country", "population", "elevation", "inlink_count", "pageviews_month", "extent_km", "area_km2", "osm_source", "bbox",
+)
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
 
 

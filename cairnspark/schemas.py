@@ -16,7 +16,6 @@ def schema(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, KINDS[kind]) for name, kind in (field.split() for field in text.split(","))])
 
 
-TRIPLE = schema("seq long, qid string, prop string, value string")
 ENTITY = schema(
     "qid string, lat double, lon double, instance_of string, instance_of_qid string, country string, population long, "
     "geonames_id string, osm_relation long, p18_image string, related_images strings"

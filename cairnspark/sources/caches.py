@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime
-import os
 import warnings
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +14,33 @@ from ..schemas import ENTITY, PAGEVIEW_MONTH
 from .footers import is_complete
 
 LOOKBACK_MONTHS = 12
+MONTH_IN_NAME = r"(\d{4})-?(\d{2})"
+
+
+def _kind(path: str) -> str:
+    """file, folder or nothing, on any file system that has a URI."""
+    fs, inner = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    return {pafs.FileType.File: "file", pafs.FileType.Directory: "folder"}.get(fs.get_file_info(inner).type, "")
+
+
+def available_months(spark: SparkSession, folder: str) -> DataFrame:
+    """month, file: what a folder has, by the months in the files' names; listed by Spark's own file systems."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    rows = spark.createDataFrame([(f.getPath().getName(),) for f in found], "file string")
+    month = F.concat_ws("-", F.regexp_extract("file", MONTH_IN_NAME, 1), F.regexp_extract("file", MONTH_IN_NAME, 2))
+    return rows.where(F.col("file").rlike(MONTH_IN_NAME) & ~F.col("file").rlike("^[._]")).select(month.alias("month"), "file")
 
 
 def month_paths(folder: str, n: int, day: datetime.date, form: str = "{month}.parquet") -> dict[str, str]:
     """month -> file, of the last ``n`` months before that of ``day``.  Missing and incomplete ones are left out with a warning."""
     have = {}
     for month in month_names(n, day):
-        path = os.path.join(folder, form.format(month=month))
-        if not os.path.exists(path):
+        path = f"{folder.rstrip('/')}/{form.format(month=month)}"
+        kind = _kind(path)
+        if not kind:
             warnings.warn(f"no extract for {month}", stacklevel=2)
-        elif not os.path.isdir(path) and not is_complete(path):
+        elif kind == "file" and not is_complete(path):
             warnings.warn(f"{path} is marked as incomplete", stacklevel=2)
         else:
             have[month] = path
@@ -32,8 +49,8 @@ def month_paths(folder: str, n: int, day: datetime.date, form: str = "{month}.pa
 
 def newest(folder: str, day: datetime.date, form: str = "extent-{month}.parquet", months: int = LOOKBACK_MONTHS) -> str | None:
     """The newest extract of this month and those before it; null beyond ``months``."""
-    paths = (os.path.join(folder, form.format(month=m)) for m in month_names(months, day, current=True))
-    return next((p for p in paths if os.path.exists(p)), None)
+    paths = (f"{folder.rstrip('/')}/{form.format(month=m)}" for m in month_names(months, day, current=True))
+    return next((p for p in paths if _kind(p)), None)
 
 
 def read_months(spark: SparkSession, paths: list[str]) -> DataFrame:

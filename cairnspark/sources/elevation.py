@@ -17,10 +17,10 @@ Sampler = Callable[[str, list[tuple[float, float]]], list[float]]
 def sample_elevations(points: DataFrame, sampler: Sampler, key: str = "page_id") -> DataFrame:
     """key, elevation (short).  points: key, lat, lon.
 
-    Points are dealt and sorted by tile, so that a task opens a tile once for
-    each run of its points (up to a batch); a crowded tile is split over
-    batches, never gathered.  What a sampler cannot give is 0; values are cut
-    off to whole metres.
+    Points are dealt and sorted by ranges of (tile, place), so that a task opens
+    a tile once for each run of its points (up to a batch), and a crowded tile is
+    split over tasks and batches.  What a sampler cannot give is 0; values are
+    cut off to whole metres.
     """
     ship(points.sparkSession)
     rows = points.select(key, dem_tile(F.col("lat"), F.col("lon")).alias("tile"), off_the_edge(F.col("lat")).alias("lat"), off_the_edge(F.col("lon")).alias("lon"))
@@ -37,4 +37,4 @@ def sample_elevations(points: DataFrame, sampler: Sampler, key: str = "page_id")
                 high.loc[part.index] = got
             yield pd.DataFrame({key: frame[key], "elevation": high})
 
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, f"{key} {kind}, elevation short")
+    return rows.repartitionByRange("tile", "lat", "lon").sortWithinPartitions("tile").mapInPandas(run, f"{key} {kind}, elevation short")

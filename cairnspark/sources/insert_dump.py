@@ -32,9 +32,10 @@ def _value(raw: Column) -> Column:
 
 
 def tuples(lines: DataFrame, table: str) -> DataFrame:
-    """seq, fields (array of string; NULL is null, quoted NULL a string): a row for each tuple, in the file's order within ``seq``.
+    """seq, fields (array of string; NULL is null, quoted NULL a string): a row for each tuple.
 
-    lines: value, and seq where order matters.  Bytes that are no UTF-8 become
+    lines: value, and seq (of any type that has an order) where order matters.
+    The tuples' ``seq`` is a struct of the line's and of the place within it.  Bytes that are no UTF-8 become
     U+FFFD.
     """
     if "seq" not in lines.columns:
@@ -44,13 +45,18 @@ def tuples(lines: DataFrame, table: str) -> DataFrame:
     rows = lines.where(head | F.ltrim("value").startswith("("))
     found = rows.select("seq", F.posexplode(F.regexp_extract_all(value, F.lit(TUPLE), F.lit(0))).alias("k", "tuple"))
     fields = F.transform(F.regexp_extract_all("tuple", F.lit(FIELD), F.lit(0)), _value)
-    return found.select((F.shiftleft("seq", 20) + F.col("k")).alias("seq"), fields.alias("fields"))
+    return found.select(F.struct(F.col("seq").alias("line"), "k").alias("seq"), fields.alias("fields"))
+
+
+def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, seq: the lines of files.  ``seq`` is in the order of paths, of splits within a file, of lines within a split, whatever order Spark reads splits in."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select("value", place.alias("seq"))
 
 
 def read_dump(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """``tuples`` of a dump file.  The order of lines is the file's: a gzip file is one split, and splits of others are numbered in order."""
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("seq"))
-    return tuples(lines, table)
+    """``tuples`` of a dump file, or of several in the order of their paths."""
+    return tuples(ordered_lines(spark, path), table)
 
 
 def columns(rows: DataFrame, least: int, **at: tuple[int, str]) -> DataFrame:

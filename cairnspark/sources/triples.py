@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rdf import LINE_FORM, PROPERTIES
+from .insert_dump import ordered_lines
 
 
 def triples(lines: DataFrame) -> DataFrame:
@@ -22,4 +23,4 @@ def triples(lines: DataFrame) -> DataFrame:
 
 
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
-    return triples(spark.read.text(path).select("value", F.monotonically_increasing_id().alias("seq")))
+    return triples(ordered_lines(spark, path))

@@ -2,6 +2,7 @@ import json
 import struct
 
 import duckdb
+import pytest
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -201,12 +202,27 @@ def test_features_and_caches(spark, tmp_path):
     assert json.loads((tmp_path / "l.json").read_text()) == {"Q1": "a", "Q2": "c", "Q3": 'd"'}
 
 
-def test_monthly_ingest_adds_new_files_only(spark, tmp_path):
+def test_monthly_ingest_adds_new_whole_files_only(spark, tmp_path):
     source, out, seen = (str(tmp_path / x) for x in ("in", "out", "seen"))
     (tmp_path / "in").mkdir()
-    (tmp_path / "in/pageviews-202601.txt").write_text("en.wikipedia A 1 desktop 3 A3\n")
+    add = lambda name, *rows: (tmp_path / "in" / name).write_text("\n".join([*rows, ""]))
+    later = "fr.wikipedia A 1 desktop 9 A9"
+    add("pageviews-202601.txt", "en.wikipedia A 1 desktop 3 A3", later)
     monthly.ingest_months(spark, source, out, seen)
-    (tmp_path / "in/pageviews-202602.txt").write_text("en.wikipedia A 1 desktop 5 A5\nen.wikipedia B null desktop 1 A1\n")
+    add("pageviews-202602.txt", "en.wikipedia A 1 desktop 5 A5", "en.wikipedia B null desktop 1 A1", later)
+    add("pageviews-202603.txt", "en.wikipedia A 1 desktop 70 A5")  # ends within the project
+    add("pageviews-202604.txt", later)  # has nothing of it
     monthly.ingest_months(spark, source, out, seen)
+    add("pageviews-202601-b.txt", "en.wikipedia A 1 desktop 4 A4", "en.wikipedia C 2 desktop 6 A6", later)  # more of a month that is there
     monthly.ingest_months(spark, source, out, seen)
-    assert sorted(map(str, monthly.months(spark, out).select("month", "page_id", "views").collect())) == sorted(map(str, spark.createDataFrame([("2026-01", 1, 3), ("2026-02", 1, 5), ("2026-02", None, 1)], "month string, page_id int, views long").collect()))
+    monthly.ingest_months(spark, source, out, seen)
+    got = sorted(map(str, (tuple(r) for r in monthly.months(spark, out).select("month", "page_id", "views").collect())))
+    assert got == sorted(map(str, [("2026-01", 1, 7), ("2026-01", 2, 6), ("2026-02", 1, 5), ("2026-02", None, 1)]))
+    assert sorted(r[0] for r in monthly.refused(spark, out).collect()) == ["pageviews-202603.txt", "pageviews-202604.txt"]
+
+
+def test_tally_and_require(spark):
+    results = spark.createDataFrame([("a", True), ("b", False), ("c", None)], "name string, passed boolean")
+    assert tuple(checks.tally(results).first()) == (1, 2) and checks.require(results.where("name = 'a'")) == 1
+    with pytest.raises(checks.ChecksFailed, match="2 of 3: b; c"):
+        checks.require(results)

@@ -136,3 +136,25 @@ def test_elevation(spark):
 
     points = spark.createDataFrame([(1, 5.5, 2.0), (2, 5.5, 2.5), (3, 1.5, 2.5)], "page_id int, lat double, lon double")
     assert sorted(map(tuple, elevation.sample_elevations(points, sampler).collect())) == [(1, 10), (2, -10), (3, 0)]
+
+
+def test_order_of_lines_holds_with_any_number_of_splits(spark, tmp_path):
+    """Of splits far beyond a thousand and of several files, the order is that of paths and places."""
+    place = lambda path, start, line: (path, start, line)
+    rows = [(place("a", 0, 1 << 50), "INSERT INTO `t` VALUES (1,'x'),(2,'y');"), (place("a", 1 << 40, 0), "(3,'z');"), (place("b", 0, 0), "(4,'w');")]
+    lines_ = spark.createDataFrame(rows, "seq struct<file: string, start: long, line: long>, value string")
+    assert [r["fields"][0] for r in insert_dump.tuples(lines_, "t").orderBy("seq").collect()] == ["1", "2", "3", "4"]
+    for name, text in (("2.sql", "(3,'a');"), ("1.sql", "(1,'b');\n(2,'c');")):
+        (tmp_path / name).write_text(text)
+    assert [r["fields"][0] for r in insert_dump.read_dump(spark, str(tmp_path), "t").orderBy("seq").collect()] == ["1", "2", "3"]
+
+
+def test_page_numbers_beyond_their_type_are_none(spark):
+    rows = pageviews.views(lines(spark, "en.wikipedia A 99999999999 desktop 3 C3", "en.wikipedia B 2147483647 desktop 1 C3")).collect()
+    assert sorted((r["page_id"] or 0, r["title"], r["views"]) for r in rows) == [(0, "A", 3), (2147483647, None, 1)]
+
+
+def test_available_months(spark, tmp_path):
+    for name in ("pageviews-202601.bz2", "2026-02.parquet", "notes.txt", "_202603.tmp"):
+        (tmp_path / name).write_text("x")
+    assert sorted(map(tuple, caches.available_months(spark, str(tmp_path)).collect())) == [("2026-01", "pageviews-202601.bz2"), ("2026-02", "2026-02.parquet")]
