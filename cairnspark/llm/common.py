@@ -51,15 +51,14 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def clear_scratch(spark: SparkSession, since: int = 0) -> int:
-    """Delete the scratch tables that this process has made (but for the first ``since``); returns how many.
+def clear_scratch(spark: SparkSession, since: int = 0, last: int = 0) -> int:
+    """Delete the scratch tables that this process has made, but for the first ``since`` and the ``last`` ones; returns how many.
 
     Results that were not written yet still read them: call it when they are.
     """
-    n = 0
-    while len(_made) > since:
-        n += delete_path(spark, _made.pop())
-    return n
+    end = max(since, len(_made) - last)
+    gone, _made[since:end] = _made[since:end], []
+    return sum(delete_path(spark, path) for path in gone)
 
 
 def scratch_mark() -> int:

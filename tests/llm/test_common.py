@@ -11,6 +11,11 @@ def test_scratch_is_below_the_shared_folder_and_can_be_cleared(spark, tmp_path,
     assert common.staged(spark.range(5), "x").count() == 5
     assert len(os.listdir(tmp_path / "shared")) == 1 and common.clear_scratch(spark) >= 1
     assert os.listdir(tmp_path / "shared") == []
+    first = common.staged(spark.range(1), "a")
+    since = common.scratch_mark()
+    common.staged(spark.range(2), "b")
+    last = common.staged(spark.range(3), "c")
+    assert common.clear_scratch(spark, since, 1) == 1 and (first.count(), last.count()) == (1, 3)
 
 
 def test_names():
