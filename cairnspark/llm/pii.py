@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, quoted, table
+from .common import fresh, map_arrow, table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "login", "account")
@@ -144,10 +144,9 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFrame:
-    """The input's columns and ``out``: its findings.  A column of that name in the input is replaced."""
-    others = [c for c in docs.columns if c != out]
-    rows = docs.select([quoted(c) for c in others])
-    text_at = others.index(text_col)
+    """The input's columns and its findings as ``out``, with underscores added if the input has a column of that name."""
+    out, rows = fresh(out, docs.columns), docs
+    text_at = docs.columns.index(text_col)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -111,8 +111,8 @@ def test_many_equal_pieces_and_few_steps():
             assert used == histogram
 
 
-def verify(docs, tokenizer, capacity):
-    rows = P.pack(docs, capacity=capacity).collect()
+def verify(docs, tokenizer, capacity, rows=None):
+    rows = rows or P.pack(docs, capacity=capacity).collect()
     want = Counter()
     for d in docs.select("doc_id", "text").collect():
         x = np.append(ids(tokenizer, d["text"]), np.uint32(0)).astype("<u4")
@@ -139,3 +139,9 @@ def test_pack(documents, odd, hot, tokenizer):
         alone = sum(r["length"] > capacity / 2 for r in rows)
         assert n <= max(bound, alone) * 1.02 + 1
     assert P.pack(odd.limit(0)).count() == 0
+
+
+def test_query(spark, sf_dir, documents, tokenizer):
+    """The query's rows against the tokenizer, and as few sequences as the tokens take."""
+    rows, n = verify(documents, tokenizer, 2048, P.op5_packing(spark, sf_dir).withColumnRenamed("doc_id", "id").collect())
+    assert n <= P.lower_bound(Counter(r["length"] for r in rows), 2048) + 1

@@ -67,8 +67,8 @@ def test_table_with_nulls_and_clashing_names(spark):
     rows = [(1, "mail a@b.de", "x", None), (None, None, None, "p"), (1, "mail a@b.de", "x", None), (2, "", "y", "q")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, pii string, n_email string")
     out = pii.find_pii(docs)
-    assert sorted(out.columns) == ["doc_id", "n_email", "pii", "text"]
-    assert sorted(len(r.pii) for r in out.collect()) == [0, 0, 1, 1]
+    assert out.columns == [*docs.columns, "pii_"] and out.drop("pii_").exceptAll(docs).count() == 0
+    assert sorted(len(r.pii_) for r in out.collect()) == [0, 0, 1, 1]
     red = pii.redact(docs)
     assert red.columns == docs.columns
     assert sorted(("-" if r.text is None else r.text) for r in red.collect()) == ["", "-", "mail <email>", "mail <email>"]

@@ -221,3 +221,8 @@ def test_near_gives_all_links_or_a_least_forest():
             for bits in range(1, top + 1, 5):
                 want = {(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(d <= bits, 1)))}
                 assert groups(range(len(u)), [(int(i), int(j)) for i, j in zip(a, b) if d[i, j] <= bits]) == groups(range(len(u)), want)
+
+
+def test_query(spark, sf_dir, documents):
+    got = sorted((str(r["doc_id"]), int(r["fingerprint"], 16), r["component_id"]) for r in S.op3_simhash(spark, sf_dir).collect())
+    assert got == brute(rows(documents)) and all(len(r["fingerprint"]) == 16 for r in S.op3_simhash(spark, sf_dir).limit(5).collect())
