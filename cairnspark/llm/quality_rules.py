@@ -35,13 +35,14 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
+SYMBOL_CLASS = f"[{SYMBOLS}]"
 MIN_DOCS = 25
 MAX_SHARE = 0.02
 DEPLETED_SHARE = 0.5
 
 
-def _without_space(c: Column) -> Column:
-    return F.translate(c, SPACE_CHARS, "")
+def _has_word(line: Column) -> Column:
+    return F.ltrim(line, F.lit(SPACE_CHARS)) != ""
 
 
 def _repeat_words(df: DataFrame, words: str, n_words: str) -> DataFrame:
@@ -79,17 +80,15 @@ def profile(rows: DataFrame, tag: str, id_col: str = "doc_id", text_col: str = "
     """One row for each of ``rows``: its tag, id, host, digest, counts of the base rules, normalised lines with their places."""
     text = F.coalesce(quoted(text_col), F.lit(""))
     df = rows.select(quoted(tag).alias("tag"), quoted(id_col).alias("id"), quoted(host_col).alias("host"), text.alias("text"))
-    bare = _without_space(F.col("text"))
     df = df.select(
         "tag", "id", "host", two_hashes(normalised(F.col("text"))).alias("digest"), "text",
-        F.length(bare).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.length("text") - F.length(F.regexp_replace("text", SYMBOL_CLASS, ""))).cast("long").alias("n_symbols"),
         words_of(F.col("text")).alias("words"),
         F.split("text", "\n", -1).alias("all_lines"),
     )
-    places = F.filter(F.transform(F.col("all_lines"), lambda x, i: F.when(_without_space(x) != "", i)), lambda i: i.isNotNull())
-    df = df.withColumns({"raw_lines": F.filter("all_lines", lambda x: _without_space(x) != ""), "places": places}).drop("all_lines")
-    df = df.withColumn("n_words", F.size("words").cast("long"))
+    places = F.filter(F.transform(F.col("all_lines"), lambda x, i: F.when(_has_word(x), i)), lambda i: i.isNotNull())
+    df = df.withColumns({"raw_lines": F.filter("all_lines", _has_word), "places": places}).drop("all_lines")
+    df = df.withColumns({"n_words": F.size("words").cast("long"), "word_chars": F.length(F.array_join("words", "")).cast("long")})
     df = _repeat_words(df, "words", "n_words")
     tidy = F.transform(F.col("raw_lines"), lambda x: F.lower(F.trim(F.regexp_replace(x, SPACE_CLASS + "+", " "))))
     df = df.select(
@@ -97,7 +96,7 @@ def profile(rows: DataFrame, tag: str, id_col: str = "doc_id", text_col: str = "
         (F.size("raw_lines") - F.size(F.array_distinct("raw_lines"))).cast("long").alias("n_dup_lines"), tidy.alias("tidy"),
     )
     # a normalised line has one space between words: words = spaces + 1
-    lines = F.sort_array(F.transform(F.col("tidy"), lambda x, k: F.struct(two_hashes(x).alias("line"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).cast("long").alias("words"), F.get("places", k).alias("place"))))
+    lines = F.sort_array(F.transform(F.col("tidy"), lambda x, k: F.struct(two_hashes(x).alias("line"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).cast("long").alias("words"), F.get("places", k).alias("place"))))
     df = df.withColumn("lines", lines).drop("tidy", "places")
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return df.select("*", base_failed.alias("base_failed"))
