@@ -117,6 +117,17 @@ def tagged(docs: DataFrame, tag: str) -> DataFrame:
     return staged(docs.select("*", own.alias(tag)), "tagged")
 
 
+def meet(rows: DataFrame, marks: DataFrame, tag: str, how: str = "inner") -> DataFrame:
+    """``rows``, which carry texts, joined to ``marks``, decisions on rows, by ``tag``, which names a row on either side once.
+
+    Always by one shuffle on the tag, at any size: the marks of a corpus grow
+    with it, so there is no bound under which to broadcast them.  A task
+    hashes its marks and streams its texts past them, without sorting texts;
+    tags are unique, so no task gets more than its share.
+    """
+    return rows.join(marks.hint("shuffle_hash"), tag, how)
+
+
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow``, with this package at hand on the executors."""
     ship(df.sparkSession)

@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, normalised, quoted, scratch_path, staged, table, tagged
+from .common import fresh, meet, normalised, quoted, scratch_path, staged, table, tagged
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -122,9 +122,8 @@ def _decided(
     digests = staged(rows.select(quoted(tag).alias("tag"), quoted(id_col).alias("id"), digest(norm).alias("digest")), "dedup-digests")
     states = _state(digests, digests.schema["id"].dataType.simpleString(), max_files_per_trigger)
 
-    # written, so that its size is known: where hits are few, no text is shuffled to find theirs
     hits = staged(digests.join(states.where("seen > 1").select("digest"), "digest").select("tag", "digest"), "dedup-hits")
-    texts = rows.select(quoted(tag).alias("tag"), norm.alias("norm")).join(hits, "tag")
+    texts = meet(rows.select(quoted(tag).alias("tag"), norm.alias("norm")), hits, "tag")
     several = texts.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("texts"))
     clashing = staged(several.where("texts > 1").select("digest"), "dedup-clash")
 
@@ -150,7 +149,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tag = fresh("xd_tag", docs.columns)
     rows = tagged(docs, tag)
     gone = _decided(rows, tag, id_col, text_col, **kw).where(~F.col("kept")).select(F.col("tag").alias(tag))
-    return rows.join(staged(gone, "dedup-gone"), tag, "left_anti").select([quoted(c) for c in docs.columns])
+    return meet(rows, staged(gone, "dedup-gone"), tag, "left_anti").select([quoted(c) for c in docs.columns])
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

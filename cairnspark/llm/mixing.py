@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, quoted, staged, table, tagged, words_of
+from .common import fresh, meet, quoted, staged, table, tagged, words_of
 
 WEIGHT_CYCLE = 3
 MAX_EPOCHS = 3
@@ -133,9 +133,8 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tag, copies, no = (fresh(f"mx_{k}", docs.columns) for k in ("tag", "copies", "no"))
     rows = tagged(docs, tag)
     plan = _mix(rows, tag, id_col, text_col, source_col, **kw).where("copies > 0")
-    # written, so that its size is known: where it is small, no text is shuffled to meet it
     plan = staged(plan.select("tag", F.col("copies").cast("int").alias("copies")), "mix-plan").toDF(tag, copies)
-    out = rows.join(plan, tag).withColumn(no, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    out = meet(rows, plan, tag).withColumn(no, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return out.select([quoted(c) for c in docs.columns])
 
 

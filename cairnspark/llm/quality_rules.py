@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, SPACE_CLASS, fresh, normalised, quoted, staged, table, tagged, words_of
+from .common import SPACE_CHARS, SPACE_CLASS, fresh, meet, normalised, quoted, staged, table, tagged, words_of
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -152,9 +152,8 @@ def filter_quality(
     tag, kept, gone = (fresh(f"qr_{k}", docs.columns) for k in ("tag", "kept", "gone"))
     rows = tagged(docs, tag)
     marks = _verdicts(rows, tag, id_col, text_col, host_col, **limits).where(~F.col("kept") | F.col("removed_lines").isNotNull())
-    # written, so that its size is known: where marks are few, no text is shuffled to meet them
     marks = staged(marks.select("tag", "kept", F.when(F.col("kept"), F.col("removed_lines")).alias("gone")), "quality-marks").toDF(tag, kept, gone)
-    rows = rows.join(marks, tag, "left").where(F.coalesce(F.col(kept), F.lit(True)))
+    rows = meet(rows, marks, tag, "left").where(F.coalesce(F.col(kept), F.lit(True)))
     loses = F.col(gone).isNotNull()
     rows = rows.withColumn(text_col, F.when(loses, without_lines(quoted(text_col), F.col(gone))).otherwise(quoted(text_col)))
     if chars_col in docs.columns:

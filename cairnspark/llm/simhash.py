@@ -53,7 +53,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, map_arrow, quoted, staged, table, tagged
+from .common import fresh, map_arrow, meet, quoted, staged, table, tagged
 
 SEED = 42
 BUCKET_CAP = 1024
@@ -380,7 +380,7 @@ def similar(pairs: DataFrame, rows: DataFrame, tag: str, text_col: str, shingle:
                 part = b.slice(k, 256)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in part.column(1)], pa.binary())], ["tag", "shingles"])
 
-    texts = rows.select(quoted(tag).alias("tag"), quoted(text_col).alias("text")).join(ends, "tag").select("tag", "text")
+    texts = meet(rows.select(quoted(tag).alias("tag"), quoted(text_col).alias("text")), ends, "tag").select("tag", "text")
     made = staged(map_arrow(texts, sets, f"tag {ends.schema['tag'].dataType.simpleString()}, shingles binary"), "simhash-sets")
     met = pairs.select("tag_a", "tag_b").join(made.select(F.col("tag").alias("tag_a"), F.col("shingles").alias("x")), "tag_a").join(made.select(F.col("tag").alias("tag_b"), F.col("shingles").alias("y")), "tag_b")
 
@@ -465,9 +465,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     tag = fresh("nd_tag", docs.columns)
     rows = tagged(docs, tag)
     found = similar_documents(rows, tag, id_col, text_col, **kw)
-    # written, so that its size is known: where few rows go, no text is shuffled to find them
     gone = staged(found.where(F.col("id.tag") != F.col("component_id.tag")).select(F.col("id.tag").alias(tag)), "simhash-gone")
-    return rows.join(gone, tag, "left_anti").select([quoted(c) for c in docs.columns])
+    return meet(rows, gone, tag, "left_anti").select([quoted(c) for c in docs.columns])
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

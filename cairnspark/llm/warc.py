@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, map_arrow, quoted, scratch_path, staged, table, tagged
+from .common import fresh, map_arrow, meet, quoted, scratch_path, staged, table, tagged
 
 DATE = "2024-01-01T00:00:00Z"
 ARCHIVE_BYTES = 256 << 20
@@ -113,10 +113,9 @@ def _grouped(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_rev
     digests = staged(rows.select(quoted(tag).alias("tag"), quoted(id_col).cast("long").alias("page_id"), F.octet_length(payload).alias("bytes"), F.sha1(payload).alias("sha1"), F.sha2(payload, 256).alias("sha2")), "warc-digests")
     groups = staged(digests.groupBy("sha1", "sha2").agg(F.max("page_id").alias("response_id")), "warc-groups")
     revisit = ~F.col("page_id").eqNullSafe(F.col("response_id")) & (F.col("bytes") >= min_revisit_bytes)
-    # written, so that its size is known: where it is small, no payload is shuffled to meet it
     decided = staged(digests.join(groups, ["sha1", "sha2"]).select("tag", "response_id", revisit.alias("revisit")), "warc-decided")
     own = rows.select(quoted(tag).alias("tag"), quoted(id_col).cast("long").alias("page_id"), quoted(url_col).alias("url"), payload.alias("html"))
-    return own.join(decided, "tag").select("page_id", "url", url_key(F.col("url")).alias("url_key"), "html", "response_id", "revisit")
+    return meet(own, decided, "tag").select("page_id", "url", url_key(F.col("url")).alias("url_key"), "html", "response_id", "revisit")
 
 
 def write_archives(pages: DataFrame, base: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", archive_bytes: int = ARCHIVE_BYTES, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
