@@ -10,7 +10,8 @@
    state's shuffle, so a text that fills a third of the corpus sends one row
    per task.
 3. *Bytes on hits.*  Of digests seen more than once, and only of these, the
-   texts are fetched by their locators and compared whole: by a hash
+   texts are fetched by their locators (one join on them, for which every
+   normalised text is shuffled once) and compared whole: by a hash
    aggregation on (digest, text), combined where the rows lie.  Where one
    digest covers several texts, those rows leave the state's verdict and are
    resolved by their bytes.
