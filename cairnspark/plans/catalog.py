@@ -217,7 +217,8 @@ SELECT l_orderkey AS page_id, coalesce(arg_min(l_returnflag, (l_linenumber, l_pa
 FROM lineitem WHERE l_quantity > 5 GROUP BY l_orderkey
 """)
 def primary_first(spark, sf_dir):
-    seq = F.col("l_linenumber").cast("long") * 10**12 + F.col("l_partkey") * 10**6 + F.col("l_suppkey")
+    # compared field by field: no key is so large that it runs into the next
+    seq = F.struct("l_linenumber", "l_partkey", "l_suppkey")
     globe, primary = F.when(F.col("l_quantity") > 5, "earth").otherwise("moon"), (F.col("l_linestatus") == "O").cast("int")
     return pages.place_types(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page_id"), globe.alias("globe"), primary.alias("is_primary"), F.col("l_returnflag").alias("gt_type"), seq.alias("seq")))
 
