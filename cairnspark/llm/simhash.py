@@ -27,7 +27,15 @@ block is compared with every other (``_block_pairs``).
 
 *Similarity.*  Where texts are asked to be alike by their shingles, links
 between fingerprints are candidates, and the sets of distinct shingles decide
-(``similar``): shared over all, ``similarity`` at least.
+(``similar``): shared over all, ``similarity`` at least.  Fingerprints find most
+links, not all: texts may meet in no segment, differ by more than ``max_bits``,
+or be left out of a forest.  What remains is found exactly
+(``_remaining``): in any one order of all shingles, two sets of the similarity
+have ``k`` shingles in common among the first ``n - ceil(similarity n) + k`` of each
+(``k`` is about ``n / 25``: sets of chance meetings have fewer).
+So every set is indexed under these, and sets that meet there so often, and are not in one
+component yet, are compared.  The order is by hash, with shingles that are common in a
+sample of texts last: what is sampled decides how full buckets are, never what is found.
 
 *Components.*  Alternating large-star and small-star steps on the links between
 fingerprints.  What a step knows of a node is written to the shared folder
@@ -90,6 +98,11 @@ def fingerprint(text: str | None, shingle: int = 3, words: int = 1, distinct: bo
     if distinct:
         every = list(blocks)
         blocks = iter([np.unique(np.concatenate(every))] if every else [])
+    return _majority(blocks, words)
+
+
+def _majority(blocks: Iterator[np.ndarray], words: int) -> list[int]:
+    """The bits that over half of the hashes have."""
     ones, total = np.zeros((words, 64), np.int64), 0
     for hashes in blocks:
         ones, total = ones + _ones(hashes, words), total + len(hashes)
@@ -97,9 +110,9 @@ def fingerprint(text: str | None, shingle: int = 3, words: int = 1, distinct: bo
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The distinct shingles as sorted unsigned 32-bit numbers."""
-    every = [np.unique(h.astype(np.uint32)) for h in shingle_hashes(text, shingle)]
-    return np.unique(np.concatenate(every)) if every else np.empty(0, np.uint32)
+    """The hashes of the distinct shingles, sorted."""
+    every = [np.unique(h) for h in shingle_hashes(text, shingle)]
+    return np.unique(np.concatenate(every)) if every else np.empty(0, np.uint64)
 
 
 def _ones(h: np.ndarray, words: int) -> np.ndarray:
@@ -388,7 +401,7 @@ def similar(pairs: DataFrame, rows: DataFrame, tag: str, text_col: str, shingle:
         for b in batches:
             keep = []
             for x, y in zip(b.column(1), b.column(2), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in (x, y))
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 shared = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= similarity * max(len(x), len(y)) else 0
                 keep.append(shared >= similarity * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_()))], ["pair"])
@@ -398,26 +411,214 @@ def similar(pairs: DataFrame, rows: DataFrame, tag: str, text_col: str, shingle:
     return pairs.join(staged(good.select("pair.tag_a", "pair.tag_b"), "simhash-similar"), ["tag_a", "tag_b"])
 
 
-def _classes(own: DataFrame, names: list[str], check: Callable[[DataFrame], DataFrame] | None = None, **index) -> DataFrame:
-    """f0.., component_id: the distinct fingerprints of ``own`` (id, f0..) and the smallest id of each one's component.
-
-    ``check`` keeps some of the links (a, b, id_a, id_b), where an id is that
-    of a fingerprint's first row.
-    """
+def _classes(own: DataFrame, names: list[str], **index) -> DataFrame:
+    """f0.., component_id: the distinct fingerprints of ``own`` (id, f0..) and the smallest id of each one's component."""
     first = F.struct(F.col("id").isNull().alias("no_id"), "id")
     distinct = staged(own.groupBy(*names).agg(F.min(first).alias("first")).select(*names, F.col("first.id").alias("first_id")), "simhash-distinct")
     # nodes are in the order of their identifiers, so that a component's root carries its identifier and nothing is grouped by component
     node = F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("id"), *names)
-    met = links(distinct, names, **index)
-    for end in "ab":
-        met = met.join(distinct.select(*[F.col(n).alias(f"{end}{k}") for k, n in enumerate(names)], node.alias(f"node_{end}")), [f"{end}{k}" for k in range(len(names))])
-    met = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    if check is not None:
-        met = check(staged(met.select("a", "b", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")), "simhash-pairs")).select("a", "b")
+    met = _ends(links(distinct, names, **index), distinct, names, node)
     roots = components(met).select(*[F.col("node")[n].alias(n) for n in names], F.col("root.id").alias("root_id"))
     return staged(distinct.join(roots, names, "left").select(*names, F.coalesce("root_id", "first_id").alias("component_id")), "simhash-classes")
 
 
+def _ends(met: DataFrame, distinct: DataFrame, names: list[str], node: Column) -> DataFrame:
+    """a, b: the links' ends (a0.., b0..) as nodes."""
+    for end in "ab":
+        met = met.join(distinct.select(*[F.col(n).alias(f"{end}{k}") for k, n in enumerate(names)], node.alias(f"node_{end}")), [f"{end}{k}" for k in range(len(names))])
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
+#: Of about so many texts, shingles that occur in ``COMMON`` or more are put last in the order, the ``MOST_COMMON`` most frequent of them.
+SAMPLE, COMMON, MOST_COMMON = 8192, 3, 1 << 16
+
+
+def _common(docs: DataFrame, tag: str, text_col: str, shingle: int, bucket_cap: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted hashes of common shingles, how many texts of a sample each is in, and how many parts of ``bucket_cap`` the fullest of their buckets may have."""
+    rate = max(1, docs.count() // SAMPLE)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py(), shingle).view(np.int64))], ["h"])
+
+    texts = docs.where(F.pmod(F.xxhash64(quoted(tag)), F.lit(rate)) == 0).select(quoted(text_col).alias("text"))
+    counts = map_arrow(texts, hashed, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON)
+    found = counts.orderBy(F.desc("n"), "h").limit(MOST_COMMON).collect()
+    h, n = np.array([r["h"] for r in found], np.int64).view(np.uint64), np.array([r["n"] for r in found], np.int64)
+    by = np.argsort(h)
+    return h[by], n[by], -(-int(n.max(initial=1)) * rate // bucket_cap)
+
+
+def _shared(n: np.ndarray, similarity: float) -> np.ndarray:
+    """How many shingles a set of ``n`` shares at least with one of the similarity."""
+    return np.maximum(1, np.ceil(similarity * n - 1e-9)).astype(np.int64)
+
+
+def _meetings(n: np.ndarray, similarity: float) -> np.ndarray:
+    """How many of its first shingles a set of ``n`` shares at least with a set of the similarity that is not smaller."""
+    return np.minimum(1 + n // 25, _shared(n, similarity))
+
+
+def _first_shingles(shingles: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first shingles in the order, as many as have the meetings with every set of the similarity; how many of them are not common."""
+    at = np.searchsorted(common, shingles)
+    hit = np.append(common, np.uint64(0))[at] == shingles if len(common) else np.zeros(len(shingles), bool)
+    hit &= at < len(common)
+    rare, often = shingles[~hit], shingles[hit][np.argsort(counts[at[hit]], kind="stable")]
+    most = int(len(shingles) - _shared(len(shingles), similarity) + _meetings(len(shingles), similarity)) if len(shingles) else 0
+    return np.concatenate([rare, often])[:most], min(len(rare), most)
+
+
+def _sketches(docs: DataFrame, id_: Column, text_col: str, shingle: int, words: int, similarity: float, common: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """id, f0.. (fingerprint of the distinct shingles), d0, d1 (digest of their set), n (their number), first (the first ones in the order), rare (how many of these are not common)."""
+    rows = docs.select(id_.alias("id"), quoted(text_col).alias("text"))
+    names = [*(f"f{k}" for k in range(words)), "d0", "d1"]
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                longs, sizes, firsts, rare = [], [], [], []
+                for t in b.column(1):
+                    s = shingle_set(t.as_py(), shingle)
+                    d = xxhash.xxh3_128_intdigest(s.tobytes())
+                    longs.append([*_majority(iter([s] if len(s) else []), words), d >> 64, d & (2**64 - 1)])
+                    first, r = _first_shingles(s, similarity, common, counts)
+                    sizes.append(len(s))
+                    firsts.append(first)
+                    rare.append(r)
+                wide = np.array(longs, dtype=np.uint64).reshape(-1, len(names)).view(np.int64)
+                edges = np.cumsum([0, *map(len, firsts)])
+                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate([np.empty(0, np.uint64), *firsts]).view(np.int64)))
+                cols = [b.column(0), *(pa.array(np.ascontiguousarray(wide[:, k])) for k in range(len(names))), pa.array(sizes, pa.int64()), lists, pa.array(rare, pa.int32())]
+                yield pa.RecordBatch.from_arrays(cols, ["id", *names, "n", "first", "rare"])
+
+    return map_arrow(rows, hashed, f"id {rows.schema['id'].dataType.simpleString()}, " + ", ".join(f"{x} long" for x in names) + ", n long, first array<long>, rare int")
+
+
+# columns of a row of the index, after the bucket's keys
+KEY, ROOT, SIZE = range(3)
+
+
+def _may_share(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether rows are of different components and of sizes that allow the similarity."""
+    return (np.minimum(a[..., SIZE], b[..., SIZE]) >= similarity * np.maximum(a[..., SIZE], b[..., SIZE]) - 1e-6) & (a[..., ROOT] != b[..., ROOT])
+
+
+def _across(rows: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of a bucket that may be similar; ``rows`` are sorted by component."""
+    ends, left, right = np.searchsorted(rows[:, ROOT], rows[:, ROOT], side="right"), [np.empty(0, int)], [np.empty(0, int)]
+    for at in range(0, len(rows), 256):
+        low = int(ends[at])
+        if low == len(rows):
+            break
+        a, b = rows[at : at + 256, None], rows[None, low:]
+        i, j = np.nonzero(_may_share(a, b, similarity) & (a[..., ROOT] < b[..., ROOT]))
+        left.append(i + at)
+        right.append(j + low)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _nearest(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of the pairs i, j, for each component the one of the most equal sizes, the same in other buckets of the same sets: places in ``i``."""
+    both, at = np.concatenate([rows[i, ROOT], rows[j, ROOT]]), np.tile(np.arange(len(i)), 2)
+    order = np.lexsort([(rows[i, KEY] ^ rows[j, KEY])[at], np.abs(rows[i, SIZE] - rows[j, SIZE])[at], both])
+    return np.unique(at[order][np.unique(both[order], return_index=True)[1]])
+
+
+def _index_pairs(rows: np.ndarray, n_keys: int, similarity: float, every: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Meetings (key, key, how many the pair needs) within the runs of equal bucket keys; of crowded buckets, each component's nearest pair, and the rows.
+
+    A bucket is crowded if it has over ``LINKS_EACH`` pairs for each row; with ``every`` none is.
+    """
+    edges = np.concatenate([[0], np.flatnonzero((rows[1:, :n_keys] != rows[:-1, :n_keys]).any(axis=1)) + 1, [len(rows)]])
+    sizes = np.diff(edges)
+    few = (sizes > 1) & (sizes <= FEW)
+    u, run = rows[np.repeat(few, sizes), n_keys:], np.repeat(np.flatnonzero(few), sizes[few])
+    none = np.empty((0, 3), np.int64)
+    pairs, near, crowded = [none], [none], [rows[:0]]
+
+    def met(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.column_stack([np.minimum(a[:, KEY], b[:, KEY]), np.maximum(a[:, KEY], b[:, KEY]), _meetings(np.minimum(a[:, SIZE], b[:, SIZE]), similarity)])
+
+    for k in range(1, FEW):
+        at = np.flatnonzero(run[:-k] == run[k:]) if len(run) > k else np.empty(0, int)
+        if not len(at):
+            break
+        at = at[_may_share(u[at], u[at + k], similarity)]
+        pairs.append(met(u[at], u[at + k]))
+    for r in np.flatnonzero(sizes > FEW):
+        own = rows[edges[r] : edges[r + 1]]
+        own = own[np.argsort(own[:, n_keys + ROOT], kind="stable")]
+        bucket = own[:, n_keys:]
+        i, j = _across(bucket, similarity)
+        if not every and len(i) > LINKS_EACH * len(own):
+            crowded.append(own)
+            at = _nearest(bucket, i, j)
+            near.append(met(bucket[i[at]], bucket[j[at]]))
+        else:
+            pairs.append(met(bucket[i], bucket[j]))
+    return np.vstack(pairs), np.vstack(near), np.vstack(crowded)
+
+
+def _remaining(own: DataFrame, classes: DataFrame, join: Callable[[DataFrame, DataFrame], DataFrame], similarity: float, bucket_cap: int, parts: int) -> DataFrame:
+    """``classes`` with all links that are left, found by the sets' first shingles.
+
+    First what meets often enough in buckets that are not crowded, and the nearest
+    pairs of crowded ones, which join most of what is left; then crowded buckets whole, by
+    blocks, between the components that there are then.  Buckets of common
+    shingles, where one may go over the cap, are dealt in ``parts`` and count as crowded.
+    """
+    names = ["token", "part", "key", "root", "n"]
+    rows = own.join(classes.select("d0", "d1", F.col("node.id").alias("of"), F.col("root.d0").alias("root")), ["d0", "d1"]).where(F.col("id") == F.col("of"))
+    rows = rows.select(F.posexplode("first").alias("place", "token"), F.col("d0").alias("key"), "root", "n", "rare")
+    part = F.when((F.lit(parts) > 1) & (F.col("place") >= F.col("rare")), F.pmod("key", F.lit(parts)) + 1).otherwise(0)
+    dealt = rows.select("token", part.cast("long").alias("part"), "key", "root", "n").repartition("token", "part").sortWithinPartitions("token", "part")
+
+    def batch(rows: np.ndarray, columns: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(rows.shape[1])], columns)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Meetings (part -1; of nearest pairs -2; key, root and n hold keys and need), and the rows of crowded buckets."""
+        for rows, over in _runs(batches, 2, bucket_cap):
+            for piece in (rows[at : at + bucket_cap] for at in range(0, len(rows), bucket_cap)) if over else (rows,):
+                pairs, near, crowded = _index_pairs(piece, 2, similarity, False)
+                whole = np.ones(len(piece), bool) if over else piece[:, 1] > 0
+                if whole.any():  # these buckets go on elsewhere, so all their rows do
+                    near = np.vstack([near, pairs]) if over else near
+                    pairs = pairs[:0] if over else pairs
+                    crowded = np.vstack([crowded[crowded[:, 1] == 0] if not over else crowded[:0], piece[whole]])
+                kinds = [np.hstack([np.zeros((len(x), 1), np.int64), np.full((len(x), 1), k), x]) for k, x in ((-1, pairs), (-2, near))]
+                out = np.vstack([*kinds, crowded])
+                if len(out):
+                    yield batch(out, names)
+
+    def compare_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in _runs(batches, 3, 1 << 62):
+            pairs = _index_pairs(rows, 3, similarity, True)[0]
+            if len(pairs):
+                yield batch(pairs, ["ka", "kb", "need"])
+
+    found = staged(map_arrow(dealt, compare, ", ".join(f"{x} long" for x in names)), "simhash-index")
+    pair = [F.col("key").alias("ka"), F.col("root").alias("kb"), F.col("n").alias("need")]
+    often = lambda met: met.groupBy("ka", "kb", "need").agg(F.count(F.lit(1)).alias("met"))
+    classes = join(classes, often(found.where("part < 0").select(*pair)).where("met >= need").select("ka", "kb"))
+    crowded = found.where("part >= 0").select("token", "key", "n")
+    if crowded.isEmpty():
+        return classes
+    now = staged(crowded.join(classes.select(F.col("d0").alias("key"), F.col("root.d0").alias("root")), "key"), "simhash-crowded")
+    sizes = now.groupBy("token").agg(F.greatest(F.ceil(F.count(F.lit(1)) / bucket_cap).cast("int"), F.lit(2)).alias("blocks"), (F.min("root") < F.max("root")).alias("several"))
+    sizes = staged(sizes.where("several").select("token", "blocks"), "simhash-blocks")
+    mine = now.join(sizes, "token").withColumn("mine", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    met = mine.withColumn("other", F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("mine"))))
+    met = met.select("token", F.least("mine", "other").cast("long").alias("i"), F.greatest("mine", "other").cast("long").alias("j"), "key", "root", "n")
+    met = map_arrow(met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j"), compare_all, "ka long, kb long, need long")
+    # what met in both kinds of buckets counts together
+    again = often(met).unionByName(often(found.where("part = -1").select(*pair)).where("met < need"))
+    return join(classes, again.groupBy("ka", "kb", "need").agg(F.sum("met").alias("met")).where("met >= need").select("ka", "kb"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2, words: int = 1, n_segments: int | None = None, bucket_cap: int = BUCKET_CAP,
 ) -> DataFrame:
@@ -436,7 +637,8 @@ def similar_documents(
     """id (struct<no_id, id, tag>), component_id (the smallest such of the component), one row per input row: linked by the similarity of their shingles.
 
     ``docs`` has a column ``tag`` that names a row for good.  Fingerprints are
-    of distinct shingles; rows whose fingerprints are equal in all words are one class.
+    of distinct shingles; rows whose sets of shingles are equal are one class.
+    No link is lost: what fingerprints do not find, ``_remaining`` does.
 
     The defaults are for a similarity of 0.8 and more.  Texts of similarity 0.8
     differ in 15 % of the bits at the mean (39 of 256, deviation 6): a segment
@@ -445,14 +647,32 @@ def similar_documents(
     """
     names = [f"f{k}" for k in range(words)]
     order = F.struct(quoted(id_col).isNull().alias("no_id"), quoted(id_col).alias("id"), quoted(tag).alias("tag"))
-    own = staged(fingerprints(docs.select(order.alias("id"), quoted(text_col).alias("text")), "id", "text", shingle, words, distinct=True), "simhash-fp")
-
-    def check(met: DataFrame) -> DataFrame:
-        pairs = met.select("a", "b", F.col("id_a.tag").alias("tag_a"), F.col("id_b.tag").alias("tag_b"))
-        return similar(pairs, docs, tag, text_col, shingle, similarity)
-
-    classes = _classes(own, names, check, max_bits=max_bits, n_segments=n_segments, bucket_cap=bucket_cap, width=width)
-    return own.join(classes, names).select("id", "component_id")
+    common, counts, parts = _common(docs, tag, text_col, shingle, bucket_cap)
+    own = staged(_sketches(docs, order, text_col, shingle, words, similarity, common, counts), "simhash-fp")
+    # nodes are in the order of their identifiers, so that a component's root carries its identifier
+    first = own.groupBy("d0", "d1").agg(F.min(F.struct("id", *names)).alias("first"))
+    sets = staged(first.select("d0", "d1", F.col("first.id").alias("id"), *[F.col("first")[n].alias(n) for n in names]), "simhash-sets")
+    node = F.struct("id", "d0", "d1")
+    distinct = staged(sets.groupBy(*names).agg(F.min(node).alias("first"), F.count(F.lit(1)).alias("of")), "simhash-distinct")
+
+    def join(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+        """``classes`` joined by the pairs of keys (ka, kb) that are similar."""
+        pairs = staged(pairs.distinct(), "simhash-pairs")
+        if pairs.isEmpty():
+            return classes
+        for end in "ab":
+            pairs = pairs.join(classes.select(F.col("d0").alias(f"k{end}"), F.col("node.id.tag").alias(f"tag_{end}"), F.col("root").alias(end)), f"k{end}")
+        met = similar(staged(pairs.select("a", "b", "tag_a", "tag_b"), "simhash-pairs"), docs, tag, text_col, shingle, similarity)
+        roots = staged(components(met.select("a", "b")).select(F.col("node").alias("root"), F.col("root").alias("now")), "simhash-roots")
+        return staged(classes.join(roots, "root", "left").select("d0", "d1", "node", F.coalesce("now", "root").alias("root")), "simhash-classes")
+
+    met = _ends(links(distinct, names, max_bits, n_segments, bucket_cap, width), distinct, names, F.col("first"))
+    same = sets.join(distinct.where("of > 1").select(*names, "first"), names).where((F.col("d0") != F.col("first.d0")) | (F.col("d1") != F.col("first.d1")))
+    pairs = met.select(F.col("a.d0").alias("ka"), F.col("b.d0").alias("kb")).unionByName(same.select(F.col("first.d0").alias("ka"), F.col("d0").alias("kb")))
+    classes = join(sets.select("d0", "d1", node.alias("node"), node.alias("root")), pairs)
+    classes = _remaining(own, classes, join, similarity, bucket_cap, parts)
+    # both sides are plain tables, so that a set of very many copies can be split over tasks
+    return own.select("id", "d0", "d1").join(classes.select("d0", "d1", F.col("root.id").alias("component_id")), ["d0", "d1"]).select("id", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

@@ -199,6 +199,34 @@ def test_similar_documents_against_exact_sets(spark, near_pairs):
     assert len(pairs) > 100 and found_ >= 0.9 * len(pairs)
 
 
+def components_of(docs, **kw):
+    docs, got = docs.withColumn("t", F.struct(F.lit(0).cast("long").alias("file"), F.col("doc_id").alias("row"))), {}
+    for r in S.similar_documents(docs, "t", **kw).collect():
+        got.setdefault(r["component_id"]["id"], set()).add(r["id"]["id"])
+    assert all(root == min(g) for root, g in got.items())
+    return {frozenset(g) for g in got.values()}
+
+
+@pytest.mark.parametrize("kw", [{}, {"max_bits": 1, "bucket_cap": 16}, {"max_bits": 1, "bucket_cap": 2}])
+def test_similar_documents_lose_no_link(spark, near_pairs, kw):
+    """All components of exact sets, also of pairs that meet in no segment or differ by more bits than asked for."""
+    docs = spark.createDataFrame(near_pairs, "doc_id long, text string")
+    assert components_of(docs, **kw) == groups(range(len(near_pairs)), exact_groups(near_pairs))
+
+
+@pytest.mark.parametrize("kw", [{}, {"max_bits": 1}, {"bucket_cap": 8}])
+def test_similar_documents_of_a_crowd(spark, kw):
+    """One long passage with endings of many lengths: all texts meet in the same buckets, and some are just similar, some just not."""
+    rng = np.random.default_rng(31)
+    base, rows_ = [f"b{i}" for i in range(100)], []
+    for n in range(160):
+        cut, own = int(rng.integers(0, 12)), int(rng.integers(0, 40))
+        rows_.append((n, " ".join(base[cut:] + [f"o{n % 90}x{k}" for k in range(own)])))
+    rows_ += [(n, t) for n, t in enumerate(["", " ", "one", "One", "one two three four five six", "one two three four five six seven"], 160)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string")
+    assert components_of(docs, **kw) == groups(range(len(rows_)), exact_groups(rows_))
+
+
 def test_caps_do_not_matter_for_similar_documents(spark, hot):
     docs = hot.where("doc_id < 300").withColumn("t", F.struct(F.lit(0).cast("long").alias("file"), F.col("doc_id").alias("row")))
     of = lambda cap: sorted((r["id"]["id"], r["component_id"]["id"]) for r in S.similar_documents(docs, "t", bucket_cap=cap).collect())
