@@ -36,6 +36,12 @@ have ``k`` shingles in common among the first ``n - ceil(similarity n) + k`` of
 So every set is indexed under these, and sets that meet there so often, and are not in one
 component yet, are compared.  The order is by hash, with shingles that are common in a
 sample of texts last: what is sampled decides how full buckets are, never what is found.
+Buckets that stay crowded hold drafts of one text, most too far from each other.  A pair that
+meets in none but these has all its meetings there, so sets of too few are out; of the
+others, all shingles are counted: what no other component has is shared with nobody, and a
+set with too much of that is out as well (``_open_shingles``).  A draft that may still be similar to
+another one is mostly similar to the text that they come from, so few components are left.  Where there is no such text,
+pairs grow with the square of a crowd: they are compared all the same.
 
 *Components.*  Alternating large-star and small-star steps on the links between
 fingerprints.  What a step knows of a node is written to the shared folder
@@ -379,13 +385,8 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def similar(pairs: DataFrame, rows: DataFrame, tag: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """The ``pairs`` (a, b, tag_a, tag_b) whose texts share ``similarity`` of all their distinct shingles.
-
-    Sets are made of the texts in pairs only, once each; they meet by two joins
-    on the tag, between tables of which AQE splits what is hot.
-    """
-    ends = staged(pairs.select(F.col("tag_a").alias("tag")).unionByName(pairs.select(F.col("tag_b").alias("tag"))).distinct(), "simhash-ends")
+def shingle_sets(ends: DataFrame, rows: DataFrame, tag: str, text_col: str, shingle: int) -> DataFrame:
+    """tag, shingles (sorted hashes of the distinct ones, 8 bytes each) of the rows that ``ends`` (tag) names."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -394,7 +395,15 @@ def similar(pairs: DataFrame, rows: DataFrame, tag: str, text_col: str, shingle:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in part.column(1)], pa.binary())], ["tag", "shingles"])
 
     texts = meet(rows.select(quoted(tag).alias("tag"), quoted(text_col).alias("text")), ends, "tag").select("tag", "text")
-    made = staged(map_arrow(texts, sets, f"tag {ends.schema['tag'].dataType.simpleString()}, shingles binary"), "simhash-sets")
+    return staged(map_arrow(texts, sets, f"tag {ends.schema['tag'].dataType.simpleString()}, shingles binary"), "simhash-sets")
+
+
+def similar(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b, tag_a, tag_b) whose sets in ``made`` (tag, shingles) share ``similarity`` of all their shingles.
+
+    They meet by two joins on the tag, between tables of which AQE splits what is hot.
+    """
+    kind = made.schema["tag"].dataType.simpleString()
     met = pairs.select("tag_a", "tag_b").join(made.select(F.col("tag").alias("tag_a"), F.col("shingles").alias("x")), "tag_a").join(made.select(F.col("tag").alias("tag_b"), F.col("shingles").alias("y")), "tag_b")
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,7 +416,7 @@ def similar(pairs: DataFrame, rows: DataFrame, tag: str, text_col: str, shingle:
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_()))], ["pair"])
 
     pair = F.struct("tag_a", "tag_b").alias("pair")
-    good = map_arrow(met.select(pair, "x", "y"), alike, f"pair struct<tag_a: {ends.schema['tag'].dataType.simpleString()}, tag_b: {ends.schema['tag'].dataType.simpleString()}>")
+    good = map_arrow(met.select(pair, "x", "y"), alike, f"pair struct<tag_a: {kind}, tag_b: {kind}>")
     return pairs.join(staged(good.select("pair.tag_a", "pair.tag_b"), "simhash-similar"), ["tag_a", "tag_b"])
 
 
@@ -460,6 +469,21 @@ def _meetings(n: np.ndarray, similarity: float) -> np.ndarray:
     return np.minimum(1 + n // 25, _shared(n, similarity))
 
 
+def _shared_by(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """How many shingles sets of ``a`` and ``b`` share at least, if they have the similarity."""
+    return np.ceil(similarity / (1 + similarity) * (a + b) - 1e-6).astype(np.int64)
+
+
+def _needed(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """How many of their first shingles sets of ``a`` and ``b`` share at least, if they have the similarity.
+
+    What they share up to where the first of the two lists ends is in both
+    lists; beyond, it is no more than what is left of that list's set.
+    """
+    left = np.maximum(*[_shared(n, similarity) - _meetings(n, similarity) for n in (a, b)])
+    return np.maximum(_meetings(np.minimum(a, b), similarity), _shared_by(a, b, similarity) - left)
+
+
 def _first_shingles(shingles: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
     """The first shingles in the order, as many as have the meetings with every set of the similarity; how many of them are not common."""
     at = np.searchsorted(common, shingles)
@@ -497,13 +521,14 @@ def _sketches(docs: DataFrame, id_: Column, text_col: str, shingle: int, words:
     return map_arrow(rows, hashed, f"id {rows.schema['id'].dataType.simpleString()}, " + ", ".join(f"{x} long" for x in names) + ", n long, first array<long>, rare int")
 
 
-# columns of a row of the index, after the bucket's keys
-KEY, ROOT, SIZE = range(3)
+# columns of a row of the index, after the bucket's keys; the last one, how many shingles the set has in common with other components, only where it is known
+KEY, ROOT, SIZE, OPEN = range(4)
 
 
 def _may_share(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether rows are of different components and of sizes that allow the similarity."""
-    return (np.minimum(a[..., SIZE], b[..., SIZE]) >= similarity * np.maximum(a[..., SIZE], b[..., SIZE]) - 1e-6) & (a[..., ROOT] != b[..., ROOT])
+    """Whether rows are of different components, of sizes that allow the similarity, and each with shingles enough that the other may have."""
+    may = (np.minimum(a[..., SIZE], b[..., SIZE]) >= similarity * np.maximum(a[..., SIZE], b[..., SIZE]) - 1e-6) & (a[..., ROOT] != b[..., ROOT])
+    return may if a.shape[-1] == OPEN else may & (np.minimum(a[..., OPEN], b[..., OPEN]) >= _shared_by(a[..., SIZE], b[..., SIZE], similarity))
 
 
 def _across(rows: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -540,7 +565,8 @@ def _index_pairs(rows: np.ndarray, n_keys: int, similarity: float, every: bool)
     pairs, near, crowded = [none], [none], [rows[:0]]
 
     def met(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.column_stack([np.minimum(a[:, KEY], b[:, KEY]), np.maximum(a[:, KEY], b[:, KEY]), _meetings(np.minimum(a[:, SIZE], b[:, SIZE]), similarity)])
+        need = _needed(a[:, SIZE], b[:, SIZE], similarity) if every else _meetings(np.minimum(a[:, SIZE], b[:, SIZE]), similarity)
+        return np.column_stack([np.minimum(a[:, KEY], b[:, KEY]), np.maximum(a[:, KEY], b[:, KEY]), need])
 
     for k in range(1, FEW):
         at = np.flatnonzero(run[:-k] == run[k:]) if len(run) > k else np.empty(0, int)
@@ -562,12 +588,54 @@ def _index_pairs(rows: np.ndarray, n_keys: int, similarity: float, every: bool)
     return np.vstack(pairs), np.vstack(near), np.vstack(crowded)
 
 
-def _remaining(own: DataFrame, classes: DataFrame, join: Callable[[DataFrame, DataFrame], DataFrame], similarity: float, bucket_cap: int, parts: int) -> DataFrame:
+def _open_shingles(own: DataFrame, similarity: float) -> DataFrame:
+    """token, key, root, n, open: of the sets ``own`` (key, root, shingles), the first shingles in an order made for them, where sets can be similar to one of another component.
+
+    A shingle that no other component has is shared with no set that is looked
+    for, so a set is out that has too few others (``open`` counts them).  The
+    order is by how many sets have a shingle, with those of one component
+    first: these fill the lists, and the buckets that are left are the smallest.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                sets = [np.frombuffer(v.as_buffer(), dtype=np.int64) for v in b.column(2)]
+                sizes = np.array([len(x) for x in sets])
+                cols = [np.concatenate(sets), *(np.repeat(c.to_numpy(), sizes) for c in (b.column(0), b.column(1))), np.repeat(sizes, sizes)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["token", "key", "root", "n"])
+
+    rows = staged(map_arrow(own.select("key", "root", "shingles"), spread, "token long, key long, root long, n long"), "simhash-tokens")
+    seen = rows.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), (F.min("root") < F.max("root")).alias("several"))
+    seen = staged(seen.where("several").select("token", "sets"), "simhash-several")
+    lists = rows.join(seen, "token").groupBy("key", "root", "n").agg(F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("shingles"))
+    least = _shared_column(F.col("n"), similarity)
+    lists = lists.withColumn("open", F.size("shingles").cast("long")).where(F.col("open") >= least)
+    # of the first n - least + meetings, those that are not open come before
+    first = F.slice("shingles", F.lit(1), (F.col("open") - least + _meetings_column(F.col("n"), similarity)).cast("int"))
+    return lists.select(F.explode(first).alias("first"), "key", "root", "n", "open").select("first.token", "key", "root", "n", "open")
+
+
+def _shared_column(n: Column, similarity: float) -> Column:
+    """As ``_shared``."""
+    return F.greatest(F.lit(1), F.ceil(F.lit(similarity) * n - 1e-9).cast("long"))
+
+
+def _meetings_column(n: Column, similarity: float) -> Column:
+    """As ``_meetings``."""
+    return F.least(1 + F.floor(n / 25), _shared_column(n, similarity))
+
+
+def _remaining(own: DataFrame, classes: DataFrame, join: Callable[..., DataFrame], sets_of: Callable[[DataFrame], DataFrame], similarity: float, bucket_cap: int, parts: int) -> DataFrame:
     """``classes`` with all links that are left, found by the sets' first shingles.
 
     First what meets often enough in buckets that are not crowded, and the nearest
-    pairs of crowded ones, which join most of what is left; then crowded buckets whole, by
-    blocks, between the components that there are then.  Buckets of common
+    pairs of crowded ones, which join most of what is left.  Pairs that meet in
+    both kinds of buckets are compared if they may meet often enough in both.
+    The others meet in crowded buckets only, so each set of a pair is in as many as the
+    similarity demands.  These sets are looked at whole (``_open_shingles``): what is
+    left of them is indexed anew and compared by blocks.  Buckets of common
     shingles, where one may go over the cap, are dealt in ``parts`` and count as crowded.
     """
     names = ["token", "part", "key", "root", "n"]
@@ -608,15 +676,27 @@ def _remaining(own: DataFrame, classes: DataFrame, join: Callable[[DataFrame, Da
     if crowded.isEmpty():
         return classes
     now = staged(crowded.join(classes.select(F.col("d0").alias("key"), F.col("root.d0").alias("root")), "key"), "simhash-crowded")
-    sizes = now.groupBy("token").agg(F.greatest(F.ceil(F.count(F.lit(1)) / bucket_cap).cast("int"), F.lit(2)).alias("blocks"), (F.min("root") < F.max("root")).alias("several"))
+    apart = staged(now.groupBy("token").agg((F.min("root") < F.max("root")).alias("several")).where("several").select("token"), "simhash-apart")
+    seen = staged(now.join(apart, "token").groupBy("key", "root", "n").agg(F.count(F.lit(1)).alias("seen")), "simhash-seen")
+    both = often(found.where("part = -1").select(*pair)).where("met < need")
+    for end in "ab":
+        both = both.join(seen.select(F.col("key").alias(f"k{end}"), F.col("root").alias(f"root_{end}"), F.col("seen").alias(f"seen_{end}")), f"k{end}")
+    both = staged(both.where((F.col("root_a") != F.col("root_b")) & (F.col("met") + F.least("seen_a", "seen_b") >= F.col("need"))).select("ka", "kb"), "simhash-both")
+    # the smallest set that may be similar has the least meetings
+    enough = seen.where(F.col("seen") >= _meetings_column(_shared_column(F.col("n"), similarity), similarity)).select("key", "root")
+    keys = both.select(F.col("ka").alias("key")).unionByName(both.select(F.col("kb").alias("key"))).unionByName(enough.select("key")).distinct()
+    ends = staged(keys.join(classes.select(F.col("d0").alias("key"), F.col("node.id.tag").alias("tag")), "key"), "simhash-ends")
+    if ends.isEmpty():
+        return classes
+    made = sets_of(ends.select("tag"))
+    rows = staged(_open_shingles(ends.join(enough, "key").join(made, "tag"), similarity), "simhash-open")
+    sizes = rows.groupBy("token").agg(F.greatest(F.ceil(F.count(F.lit(1)) / bucket_cap).cast("int"), F.lit(2)).alias("blocks"), (F.min("root") < F.max("root")).alias("several"))
     sizes = staged(sizes.where("several").select("token", "blocks"), "simhash-blocks")
-    mine = now.join(sizes, "token").withColumn("mine", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    mine = rows.join(sizes, "token").withColumn("mine", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     met = mine.withColumn("other", F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("mine"))))
-    met = met.select("token", F.least("mine", "other").cast("long").alias("i"), F.greatest("mine", "other").cast("long").alias("j"), "key", "root", "n")
+    met = met.select("token", F.least("mine", "other").cast("long").alias("i"), F.greatest("mine", "other").cast("long").alias("j"), "key", "root", "n", "open")
     met = map_arrow(met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j"), compare_all, "ka long, kb long, need long")
-    # what met in both kinds of buckets counts together
-    again = often(met).unionByName(often(found.where("part = -1").select(*pair)).where("met < need"))
-    return join(classes, again.groupBy("ka", "kb", "need").agg(F.sum("met").alias("met")).where("met >= need").select("ka", "kb"))
+    return join(classes, both.unionByName(often(met).where("met >= need").select("ka", "kb")), made)
 
 
 def near_duplicates(
@@ -655,14 +735,20 @@ def similar_documents(
     node = F.struct("id", "d0", "d1")
     distinct = staged(sets.groupBy(*names).agg(F.min(node).alias("first"), F.count(F.lit(1)).alias("of")), "simhash-distinct")
 
-    def join(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-        """``classes`` joined by the pairs of keys (ka, kb) that are similar."""
+    def sets_of(ends: DataFrame) -> DataFrame:
+        return shingle_sets(ends, docs, tag, text_col, shingle)
+
+    def join(classes: DataFrame, pairs: DataFrame, made: DataFrame | None = None) -> DataFrame:
+        """``classes`` joined by the pairs of keys (ka, kb) that are similar; ``made``: the sets, if they are there."""
         pairs = staged(pairs.distinct(), "simhash-pairs")
         if pairs.isEmpty():
             return classes
         for end in "ab":
             pairs = pairs.join(classes.select(F.col("d0").alias(f"k{end}"), F.col("node.id.tag").alias(f"tag_{end}"), F.col("root").alias(end)), f"k{end}")
-        met = similar(staged(pairs.select("a", "b", "tag_a", "tag_b"), "simhash-pairs"), docs, tag, text_col, shingle, similarity)
+        pairs = staged(pairs.select("a", "b", "tag_a", "tag_b"), "simhash-pairs")
+        if made is None:
+            made = sets_of(staged(pairs.select(F.col("tag_a").alias("tag")).unionByName(pairs.select(F.col("tag_b").alias("tag"))).distinct(), "simhash-ends"))
+        met = similar(pairs, made, similarity)
         roots = staged(components(met.select("a", "b")).select(F.col("node").alias("root"), F.col("root").alias("now")), "simhash-roots")
         return staged(classes.join(roots, "root", "left").select("d0", "d1", "node", F.coalesce("now", "root").alias("root")), "simhash-classes")
 
@@ -670,7 +756,7 @@ def similar_documents(
     same = sets.join(distinct.where("of > 1").select(*names, "first"), names).where((F.col("d0") != F.col("first.d0")) | (F.col("d1") != F.col("first.d1")))
     pairs = met.select(F.col("a.d0").alias("ka"), F.col("b.d0").alias("kb")).unionByName(same.select(F.col("first.d0").alias("ka"), F.col("d0").alias("kb")))
     classes = join(sets.select("d0", "d1", node.alias("node"), node.alias("root")), pairs)
-    classes = _remaining(own, classes, join, similarity, bucket_cap, parts)
+    classes = _remaining(own, classes, join, sets_of, similarity, bucket_cap, parts)
     # both sides are plain tables, so that a set of very many copies can be split over tasks
     return own.select("id", "d0", "d1").join(classes.select("d0", "d1", F.col("root.id").alias("component_id")), ["d0", "d1"]).select("id", "component_id")
 

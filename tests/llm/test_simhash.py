@@ -227,6 +227,42 @@ def test_similar_documents_of_a_crowd(spark, kw):
     assert components_of(docs, **kw) == groups(range(len(rows_)), exact_groups(rows_))
 
 
+def test_candidates_of_a_crowd_do_not_grow_with_its_square(spark, monkeypatch):
+    """Drafts of one text, most of them just too far from it and from each other: the links are exact, and beyond what fingerprints find few pairs are looked at."""
+    rng, made, staged, drafts = np.random.default_rng(41), [], S.staged, 160
+
+    def kept(df, name):
+        made.append((name, staged(df, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(S, "staged", kept)
+    rows_ = [(0, " ".join(f"b{i}" for i in range(300)))]
+    for n in range(1, drafts + 1):
+        words = [f"b{i}" for i in range(300)]
+        for i in rng.choice(np.arange(6, 294, 6), 5 if n % 8 == 0 else 7, replace=False):
+            words[i] = f"d{n}x{i}"
+        rows_.append((n, " ".join(words)))
+    assert components_of(spark.createDataFrame(rows_, "doc_id long, text string")) == groups(range(len(rows_)), exact_groups(rows_))
+    looked_at = [df.count() for name, df in made if name == "simhash-pairs" and df.columns == ["ka", "kb"]]
+    assert sum(looked_at[1:]) <= 4 * drafts, looked_at
+
+
+def test_needed_shingles_of_two_sets():
+    """No pair of the similarity shares fewer of its first shingles than is asked for, however its shingles fall in the order."""
+    rng = np.random.default_rng(43)
+    for _ in range(3000):
+        shared = int(rng.integers(1, 120))
+        most = int(shared / 0.8 + 1e-9) - shared  # how many shingles may be in one set only
+        of_a = int(rng.integers(0, most + 1))
+        a, b = np.array([shared + of_a]), np.array([shared + int(rng.integers(0, most - of_a + 1))])
+        order = rng.random(shared + int(a[0]) + int(b[0]) - 2 * shared) if rng.random() < 0.5 else np.linspace(1, 0, int(a[0]) + int(b[0]) - shared)
+        common = order[:shared]
+        x, y = (np.sort(np.concatenate([common, own])) for own in (order[shared : int(a[0])], order[int(a[0]) :]))
+        first = [set(v[: len(v) - int(S._shared(n, 0.8)[0]) + int(S._meetings(n, 0.8)[0])]) for v, n in ((x, a), (y, b))]
+        assert shared >= S._shared_by(a, b, 0.8)[0]
+        assert len(first[0] & first[1]) >= S._needed(a, b, 0.8)[0]
+
+
 def test_caps_do_not_matter_for_similar_documents(spark, hot):
     docs = hot.where("doc_id < 300").withColumn("t", F.struct(F.lit(0).cast("long").alias("file"), F.col("doc_id").alias("row")))
     of = lambda cap: sorted((r["id"]["id"], r["component_id"]["id"]) for r in S.similar_documents(docs, "t", bucket_cap=cap).collect())
