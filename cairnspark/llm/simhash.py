@@ -39,9 +39,10 @@ sample of texts last: what is sampled decides how full buckets are, never what i
 Buckets that stay crowded hold drafts of one text, most too far from each other.  A pair that
 meets in none but these has all its meetings there, so sets of too few are out; of the
 others, all shingles are counted: what no other component has is shared with nobody, and a
-set with too much of that is out as well (``_open_shingles``).  A draft that may still be similar to
+set with too much of that is out as well (``_open_shingles``).  Masks of the others tell pairs
+apart before they are written (``_masks_allow``).  A draft that may still be similar to
 another one is mostly similar to the text that they come from, so few components are left.  Where there is no such text,
-pairs grow with the square of a crowd: they are compared all the same.
+pairs grow with the square of a crowd: they are compared all the same, and those near the similarity are written.
 
 *Components.*  Alternating large-star and small-star steps on the links between
 fingerprints.  What a step knows of a node is written to the shared folder
@@ -521,14 +522,38 @@ def _sketches(docs: DataFrame, id_: Column, text_col: str, shingle: int, words:
     return map_arrow(rows, hashed, f"id {rows.schema['id'].dataType.simpleString()}, " + ", ".join(f"{x} long" for x in names) + ", n long, first array<long>, rare int")
 
 
-# columns of a row of the index, after the bucket's keys; the last one, how many shingles the set has in common with other components, only where it is known
-KEY, ROOT, SIZE, OPEN = range(4)
+# columns of a row of the index, after the bucket's keys; the last ones only where they are known: how many shingles the set has in common with other components, and from MASK on the mask of these
+KEY, ROOT, SIZE, OPEN, MASK = range(5)
+
+#: Bits of a mask, in words of 64; beyond about so many shingles a mask says little, and pairs are told apart by their meetings.
+MASK_WORDS = 32
+MASK_NAMES = [f"m{k}" for k in range(MASK_WORDS)]
 
 
 def _may_share(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
     """Whether rows are of different components, of sizes that allow the similarity, and each with shingles enough that the other may have."""
     may = (np.minimum(a[..., SIZE], b[..., SIZE]) >= similarity * np.maximum(a[..., SIZE], b[..., SIZE]) - 1e-6) & (a[..., ROOT] != b[..., ROOT])
-    return may if a.shape[-1] == OPEN else may & (np.minimum(a[..., OPEN], b[..., OPEN]) >= _shared_by(a[..., SIZE], b[..., SIZE], similarity))
+    return may if a.shape[-1] <= OPEN else may & (np.minimum(a[..., OPEN], b[..., OPEN]) >= _shared_by(a[..., SIZE], b[..., SIZE], similarity))
+
+
+def _masks(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One row of words for each set of ``sizes`` tokens: the bits that its tokens fall on."""
+    bits = np.zeros((len(sizes), 64 * MASK_WORDS), bool)
+    bits[np.repeat(np.arange(len(sizes)), sizes), tokens & (64 * MASK_WORDS - 1)] = True
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
+def _masks_allow(rows: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the pairs i, j may be similar by their masks: a bit that only one of two sets has is of a shingle, at least, that the other does not have."""
+    if rows.shape[1] <= MASK:
+        return np.ones(len(i), bool)
+    out = [np.empty(0, bool)]
+    for at in range(0, len(i), 1 << 14):
+        a, b = rows[i[at : at + (1 << 14)]], rows[j[at : at + (1 << 14)]]
+        x, y = a[:, MASK:].view(np.uint64), b[:, MASK:].view(np.uint64)
+        shared = np.minimum(*[u[:, OPEN] - np.bitwise_count(v & ~w).sum(axis=1, dtype=np.int64) for u, v, w in ((a, x, y), (b, y, x))])
+        out.append(shared >= _shared_by(a[:, SIZE], b[:, SIZE], similarity))
+    return np.concatenate(out)
 
 
 def _across(rows: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -540,8 +565,9 @@ def _across(rows: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray
             break
         a, b = rows[at : at + 256, None], rows[None, low:]
         i, j = np.nonzero(_may_share(a, b, similarity) & (a[..., ROOT] < b[..., ROOT]))
-        left.append(i + at)
-        right.append(j + low)
+        may = _masks_allow(rows, i + at, j + low, similarity)
+        left.append(i[may] + at)
+        right.append(j[may] + low)
     return np.concatenate(left), np.concatenate(right)
 
 
@@ -573,6 +599,7 @@ def _index_pairs(rows: np.ndarray, n_keys: int, similarity: float, every: bool)
         if not len(at):
             break
         at = at[_may_share(u[at], u[at + k], similarity)]
+        at = at[_masks_allow(u, at, at + k, similarity)]
         pairs.append(met(u[at], u[at + k]))
     for r in np.flatnonzero(sizes > FEW):
         own = rows[edges[r] : edges[r + 1]]
@@ -589,7 +616,7 @@ def _index_pairs(rows: np.ndarray, n_keys: int, similarity: float, every: bool)
 
 
 def _open_shingles(own: DataFrame, similarity: float) -> DataFrame:
-    """token, key, root, n, open: of the sets ``own`` (key, root, shingles), the first shingles in an order made for them, where sets can be similar to one of another component.
+    """key, root, n, open, first, m0..: of the sets ``own`` (key, root, shingles) that can be similar to one of another component, the first shingles in an order made for them, and a mask of those in common.
 
     A shingle that no other component has is shared with no set that is looked
     for, so a set is out that has too few others (``open`` counts them).  The
@@ -613,8 +640,22 @@ def _open_shingles(own: DataFrame, similarity: float) -> DataFrame:
     least = _shared_column(F.col("n"), similarity)
     lists = lists.withColumn("open", F.size("shingles").cast("long")).where(F.col("open") >= least)
     # of the first n - least + meetings, those that are not open come before
-    first = F.slice("shingles", F.lit(1), (F.col("open") - least + _meetings_column(F.col("n"), similarity)).cast("int"))
-    return lists.select(F.explode(first).alias("first"), "key", "root", "n", "open").select("first.token", "key", "root", "n", "open")
+    most = (F.col("open") - least + _meetings_column(F.col("n"), similarity)).alias("most")
+    names = ["key", "root", "n", "open"]
+
+    def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                tokens, ends = b.column(4).flatten().to_numpy(), b.column(3).to_numpy().cumsum()
+                sizes, most = b.column(3).to_numpy(), np.minimum(b.column(5).to_numpy(), b.column(3).to_numpy())
+                first = tokens[np.arange(len(tokens)) < np.repeat(ends - sizes + most, sizes)]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, most.cumsum()), pa.int32()), pa.array(first))
+                masks = _masks(tokens, sizes)
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], lists, *(pa.array(np.ascontiguousarray(masks[:, k])) for k in range(MASK_WORDS))], [*names, "first", *MASK_NAMES])
+
+    lists = lists.select(*names, F.col("shingles.token").alias("tokens"), most)
+    return map_arrow(lists, masked, ", ".join(f"{x} long" for x in names) + ", first array<long>, " + ", ".join(f"{x} long" for x in MASK_NAMES))
 
 
 def _shared_column(n: Column, similarity: float) -> Column:
@@ -627,6 +668,32 @@ def _meetings_column(n: Column, similarity: float) -> Column:
     return F.least(1 + F.floor(n / 25), _shared_column(n, similarity))
 
 
+def _crowd_meetings(own: DataFrame, similarity: float, bucket_cap: int) -> DataFrame:
+    """ka, kb, need: where two of the sets ``own`` (key, root, shingles) meet under first shingles and may be similar, and how often they do if they are.
+
+    Whether they may is asked before a meeting is written: by their sizes, by
+    how many shingles they have in common with other components, and by the
+    masks of these.  So what goes out is mostly similar; compared in memory are
+    all that meet, which still grows with the square of a bucket.
+    """
+
+    def compare_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in _runs(batches, 3, 1 << 62):
+            pairs = _index_pairs(rows, 3, similarity, True)[0]
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in range(3)], ["ka", "kb", "need"])
+
+    lists = staged(_open_shingles(own, similarity), "simhash-open")
+    rows = lists.select(F.explode("first").alias("token"), "key", "root", "n", "open")
+    sizes = rows.groupBy("token").agg(F.greatest(F.ceil(F.count(F.lit(1)) / bucket_cap).cast("int"), F.lit(2)).alias("blocks"), (F.min("root") < F.max("root")).alias("several"))
+    sizes = staged(sizes.where("several").select("token", "blocks"), "simhash-blocks")
+    mine = rows.join(sizes, "token").withColumn("mine", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    met = mine.withColumn("other", F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("mine"))))
+    met = met.select("token", F.least("mine", "other").cast("long").alias("i"), F.greatest("mine", "other").cast("long").alias("j"), "key", "root", "n", "open")
+    met = met.join(lists.select("key", *MASK_NAMES), "key").select("token", "i", "j", "key", "root", "n", "open", *MASK_NAMES)
+    return map_arrow(met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j"), compare_all, "ka long, kb long, need long")
+
+
 def _remaining(own: DataFrame, classes: DataFrame, join: Callable[..., DataFrame], sets_of: Callable[[DataFrame], DataFrame], similarity: float, bucket_cap: int, parts: int) -> DataFrame:
     """``classes`` with all links that are left, found by the sets' first shingles.
 
@@ -662,12 +729,6 @@ def _remaining(own: DataFrame, classes: DataFrame, join: Callable[..., DataFrame
                 if len(out):
                     yield batch(out, names)
 
-    def compare_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _ in _runs(batches, 3, 1 << 62):
-            pairs = _index_pairs(rows, 3, similarity, True)[0]
-            if len(pairs):
-                yield batch(pairs, ["ka", "kb", "need"])
-
     found = staged(map_arrow(dealt, compare, ", ".join(f"{x} long" for x in names)), "simhash-index")
     pair = [F.col("key").alias("ka"), F.col("root").alias("kb"), F.col("n").alias("need")]
     often = lambda met: met.groupBy("ka", "kb", "need").agg(F.count(F.lit(1)).alias("met"))
@@ -689,13 +750,7 @@ def _remaining(own: DataFrame, classes: DataFrame, join: Callable[..., DataFrame
     if ends.isEmpty():
         return classes
     made = sets_of(ends.select("tag"))
-    rows = staged(_open_shingles(ends.join(enough, "key").join(made, "tag"), similarity), "simhash-open")
-    sizes = rows.groupBy("token").agg(F.greatest(F.ceil(F.count(F.lit(1)) / bucket_cap).cast("int"), F.lit(2)).alias("blocks"), (F.min("root") < F.max("root")).alias("several"))
-    sizes = staged(sizes.where("several").select("token", "blocks"), "simhash-blocks")
-    mine = rows.join(sizes, "token").withColumn("mine", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-    met = mine.withColumn("other", F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("mine"))))
-    met = met.select("token", F.least("mine", "other").cast("long").alias("i"), F.greatest("mine", "other").cast("long").alias("j"), "key", "root", "n", "open")
-    met = map_arrow(met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j"), compare_all, "ka long, kb long, need long")
+    met = _crowd_meetings(ends.join(enough, "key").join(made, "tag"), similarity, bucket_cap)
     return join(classes, both.unionByName(often(met).where("met >= need").select("ka", "kb")), made)
 
 

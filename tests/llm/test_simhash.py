@@ -247,6 +247,41 @@ def test_candidates_of_a_crowd_do_not_grow_with_its_square(spark, monkeypatch):
     assert sum(looked_at[1:]) <= 4 * drafts, looked_at
 
 
+def test_meetings_of_a_crowd_without_shingles_of_its_own(spark, monkeypatch):
+    """Drafts that choose among three wordings in 24 places: no shingle is one draft's alone, and hardly any two are similar.  What is written is about those that are."""
+    rng, made, map_arrow, drafts = np.random.default_rng(47), [], S.map_arrow, 160
+
+    def kept(df, function, schema):
+        made.append((function.__name__, map_arrow(df, function, schema)))
+        return made[-1][1]
+
+    monkeypatch.setattr(S, "map_arrow", kept)
+    chosen = rng.integers(0, 3, (drafts, 24))
+    twins = chosen[::20].copy()
+    twins[:, rng.choice(24, 5, replace=False)] += 1
+    rows_ = [(n, " ".join(f"v{c[i // 12] % 3}x{i}" if i % 12 == 6 else f"b{i}" for i in range(288))) for n, c in enumerate(np.vstack([chosen, twins]))]
+    pairs = exact_groups(rows_)
+    assert len(pairs) >= 8
+    # one bit at most, so that fingerprints find nearly no link
+    assert components_of(spark.createDataFrame(rows_, "doc_id long, text string"), max_bits=1) == groups(range(len(rows_)), pairs)
+    written = [df.count() for name, df in made if name == "compare_all"]
+    assert written and sum(written) <= 4 * len(rows_), written
+
+
+def test_masks_allow_all_that_is_similar():
+    """Whatever bits shingles fall on, and however full masks are, no pair of the similarity is left out; pairs far from it are, while masks are not full."""
+    rng, out = np.random.default_rng(53), 0
+    for n in (*rng.integers(1, 400, 300).tolist(), *rng.integers(400, 6000, 20).tolist()):
+        a = rng.integers(-(1 << 63), 1 << 63, n)
+        for lost in (int(n / 9), n // 2):  # of either set, exchanged for others
+            b = np.concatenate([a[lost:], rng.integers(-(1 << 63), 1 << 63, lost)])
+            rows_ = np.hstack([[[1, 1, n, n], [2, 2, n, n]], S._masks(np.concatenate([a, b]), np.array([n, n]))])
+            may = S._masks_allow(rows_, np.array([0, 1]), np.array([1, 0]), 0.8)
+            assert may[0] == may[1] and (may[0] or (n - lost) / (n + lost) < 0.8)
+            out += not may[0]
+    assert out > 250
+
+
 def test_needed_shingles_of_two_sets():
     """No pair of the similarity shares fewer of its first shingles than is asked for, however its shingles fall in the order."""
     rng = np.random.default_rng(43)
